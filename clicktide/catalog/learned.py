@@ -1 +1,217 @@
-"""Queries."""
+"""Queries over features and models."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from clicktide.catalog import register
+from clicktide.catalog.review import keyword_extractor
+from clicktide.catalog.shared_sql import BEHAVIOR, EVENTS, REVIEWS, with_
+from clicktide.catalog.stream import faulty_lines
+from clicktide.learning import ablation as AB
+from clicktide.learning import buy_model, evaluate, features, tfidf
+from clicktide.operators import extraction
+from clicktide.session import scratch
+from clicktide.sources import adapters as A
+from clicktide.streaming import events, run
+
+
+def feature_rows(spark, sf):
+    return features.buy_features(A.behavior(spark, sf, "event_id"), "event_id")
+
+
+@register(
+    "buy_features",
+    with_(
+        BEHAVIOR,
+        """SELECT event_id, CAST(user_id AS DOUBLE) AS user_id, CAST(item_id AS DOUBLE) AS item_id,
+                  CAST(category_id AS DOUBLE) AS category_id,
+                  CAST(timestamp % 86400 // 3600 AS INTEGER) AS hour,
+                  CAST((timestamp // 86400 + 3) % 7 AS INTEGER) AS dayofweek,
+                  CAST((timestamp // 86400 + 3) % 7 >= 5 AS INTEGER)::DOUBLE AS is_weekend,
+                  CAST(timestamp % 86400 // 3600 AS VARCHAR) AS hour_bucket,
+                  CAST((timestamp // 86400 + 3) % 7 AS VARCHAR) AS day_bucket,
+                  CAST(behavior_type = 'buy' AS INTEGER) AS label FROM behavior""",
+    ),
+)
+def buy_features(spark, sf):
+    return feature_rows(spark, sf)
+
+
+@register(
+    "ordinal_encode",
+    with_(
+        REVIEWS,
+        """, d AS (SELECT cat, dense_rank() OVER (ORDER BY cat) - 1 AS code
+             FROM (SELECT DISTINCT cat FROM reviews)),
+e AS (SELECT sentiment, dense_rank() OVER (ORDER BY sentiment) - 1 AS code
+      FROM (SELECT DISTINCT coalesce(sentiment, 'Unknown') AS sentiment FROM reviews))
+SELECT doc_id, d.code AS cat, e.code AS sentiment FROM reviews r JOIN d USING (cat)
+JOIN e ON e.sentiment = coalesce(r.sentiment, 'Unknown')""",
+    ),
+)
+def ordinal_encode(spark, sf):
+    from clicktide.catalog.review import labelled
+    from clicktide.operators.cleaning import fill_unknown
+
+    columns = ["cat", "sentiment"]
+    filled = fill_unknown(labelled(spark, sf).select("doc_id", *columns), columns)
+    return features.ordinal_encode(filled, columns)
+
+
+@register(
+    "impute_median",
+    with_(
+        EVENTS,
+        """SELECT event_id, coalesce(x, (SELECT median(CASE WHEN event_type <> 'error' THEN value END) FROM ev))
+             AS value FROM (SELECT event_id, CASE WHEN event_type <> 'error' THEN value END AS x FROM ev)""",
+    ),
+)
+def impute_median(spark, sf):
+    gappy = A.events(spark, sf).select(
+        "event_id", F.when(F.col("event_type") != "error", F.col("value")).alias("value")
+    )
+    return features.impute_median(gappy, ["value"])
+
+
+@register(
+    "impute_mode",
+    with_(
+        EVENTS,
+        """, g AS (SELECT event_id, CASE WHEN event_type <> 'error' THEN event_type END AS t FROM ev),
+m AS (SELECT t FROM g WHERE t IS NOT NULL GROUP BY t ORDER BY count(*) DESC, t LIMIT 1)
+SELECT event_id, coalesce(t, (SELECT t FROM m)) AS event_type FROM g""",
+    ),
+)
+def impute_mode(spark, sf):
+    gappy = A.events(spark, sf).select(
+        "event_id", F.when(F.col("event_type") != "error", F.col("event_type")).alias("event_type")
+    )
+    return features.impute_mode(gappy, ["event_type"])
+
+
+@register(
+    "standard_scale",
+    """SELECT event_id, round((value - (SELECT avg(value) FROM events))
+              / (SELECT stddev_pop(value) FROM events), 6) AS value FROM events""",
+)
+def standard_scale(spark, sf):
+    scaled = features.standard_scale(A.table(spark, sf, "events").select("event_id", "value"), ["value"])
+    return scaled.withColumn("value", F.round("value", 6))
+
+
+@register(
+    "one_hot",
+    """SELECT event_id, CASE event_type WHEN 'click' THEN '1.0,0.0,0.0,0.0' WHEN 'purchase' THEN '0.0,1.0,0.0,0.0'
+              WHEN 'signup' THEN '0.0,0.0,1.0,0.0' WHEN 'view' THEN '0.0,0.0,0.0,1.0'
+              ELSE '0.0,0.0,0.0,0.0' END AS encoded FROM events""",
+)
+def one_hot(spark, sf):
+    """Fitted without error events, which therefore become zeros."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+
+    e = A.table(spark, sf, "events").select("event_id", "event_type")
+    model = Pipeline(stages=features.one_hot(["event_type"])).fit(e.where("event_type <> 'error'"))
+    encoded = vector_to_array("event_type_vec").cast("array<string>")
+    return model.transform(e).select("event_id", F.array_join(encoded, ",").alias("encoded"))
+
+
+_TFIDF = """, d AS (SELECT doc_id, regexp_replace(lower(coalesce(review, '')), '\\s\\s+', ' ', 'g') AS t FROM reviews),
+c AS (SELECT doc_id, c, count(*) AS tf FROM (SELECT doc_id, unnest(string_split(t, '')) AS c FROM d)
+      WHERE c <> '' GROUP BY doc_id, c),
+v AS (SELECT c, sum(tf) AS total, count(*) AS df FROM c GROUP BY c ORDER BY total DESC, c LIMIT 40),
+w AS (SELECT doc_id, c AS feature, tf * (ln((1 + (SELECT count(*) FROM d))::DOUBLE / (1 + df)) + 1) AS w
+      FROM c JOIN v USING (c))
+SELECT doc_id, feature, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w"""
+
+
+@register("char_tfidf", with_(REVIEWS, _TFIDF))
+def char_tfidf(spark, sf):
+    reviews = A.reviews(spark, sf).select("doc_id", "review")
+    fitted = tfidf.fit_char_tfidf(reviews, "review", max_features=40)
+    vectors = fitted.transform(reviews, "review", "vector")
+    found = tfidf.weights(vectors, "doc_id", "vector", fitted.vocabulary)
+    return found.withColumn("weight", F.round("weight", 6))
+
+
+@register(
+    "roc_auc",
+    """WITH s AS (SELECT value, CAST(event_type = 'purchase' AS INTEGER) AS y FROM events),
+       m AS (SELECT max(value) AS top FROM s),
+       g AS (SELECT value / top AS p, sum(y) AS pos, sum(1 - y) AS neg FROM s, m GROUP BY 1),
+       r AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+               AS below FROM g)
+       SELECT round(sum(pos * (below + neg / 2.0))::DOUBLE / (sum(pos)::DOUBLE * sum(neg)::DOUBLE), 8) AS auc
+       FROM r""",
+)
+def roc_auc(spark, sf):
+    e = A.table(spark, sf, "events")
+    top = e.agg(F.max("value")).first()[0]
+    scores = e.select(
+        (F.col("event_type") == "purchase").cast("int").alias("label"),
+        (F.col("value") / F.lit(top)).alias("probability"),
+    )
+    return evaluate.roc_auc(scores).select(F.round("auc", 8).alias("auc"))
+
+
+@register(
+    "accuracy",
+    with_(
+        BEHAVIOR,
+        """SELECT round(avg(CAST((behavior_type = 'buy') = (item_id % 500 + 1 > 50) AS INTEGER)), 8) AS accuracy
+           FROM behavior""",
+    ),
+)
+def accuracy(spark, sf):
+    guessed = feature_rows(spark, sf).withColumn("prediction", (F.col("category_id") > 50).cast("int"))
+    return evaluate.accuracy(guessed).select(F.round("accuracy", 8).alias("accuracy"))
+
+
+@register("buy_model_scores")
+def buy_model_scores(spark, sf):
+    rows = feature_rows(spark, sf)
+    return buy_model.score(buy_model.train_buy_model(rows), rows)
+
+
+@register("cv_metrics")
+def cv_metrics(spark, sf):
+    return buy_model.cross_validate(feature_rows(spark, sf), "event_id")
+
+
+@register("score_stream")
+def score_stream(spark, sf):
+    """A model is trained, saved, loaded again and used on the stream of faulty events."""
+    path = scratch(spark, "model")
+    buy_model.train_buy_model(feature_rows(spark, sf)).write().save(path)
+    scorer = events.load_scorer(spark, path)
+    out, _ = run.run_available(
+        events.score_and_route(faulty_lines(spark, sf), scorer), "model-scored", by=["route"]
+    )
+    return events.scored_events(run.read_batches(spark, out)).drop("processed_at")
+
+
+def extracted(spark, sf):
+    labelled = A.reviews(spark, sf).where(F.col("label").isNotNull())
+    return extraction.extract_features(labelled, "review", keyword_extractor)
+
+
+@register("ablation")
+def ablation(spark, sf):
+    prepared, _ = AB.prepare(extracted(spark, sf), "doc_id")
+    return AB.ablation(prepared)
+
+
+def _attributions(spark, sf):
+    prepared, fitted = AB.prepare(extracted(spark, sf), "doc_id")
+    return AB.linear_attributions(prepared, [f"字_{c}" for c in fitted.vocabulary] + list(AB.DENSE))
+
+
+@register("attribution_top")
+def attribution_top(spark, sf):
+    return AB.top_features(_attributions(spark, sf))
+
+
+@register("attribution_audit")
+def attribution_audit(spark, sf):
+    return AB.attribution_audit(_attributions(spark, sf))

@@ -1 +1,300 @@
-"""Queries."""
+"""Queries that run as streams over JSON lines of the events table."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from clicktide.catalog import register
+from clicktide.catalog.shared_sql import EVENTS, with_
+from clicktide.functions import scalars as S
+from clicktide.session import scratch
+from clicktide.sources import adapters as A
+from clicktide.sources import readers
+from clicktide.streaming import drift, events, metrics, run, sessions, windows
+
+RATE = 0.1
+# Event types as stream behaviours; errors come without one.
+STREAM_BEHAVIORS = {"view": "view", "signup": "cart", "purchase": "purchase", "click": "fav"}
+
+
+def stream_events(spark, sf):
+    e = A.events(spark, sf)
+    return e.select(
+        "event_id",
+        F.date_format("ts", windows.TIME_FORMAT).alias("event_time"),
+        "user_id",
+        "item_id",
+        S.lookup(F.col("event_type"), STREAM_BEHAVIORS).alias("behavior_type"),
+        F.substring(F.md5(F.col("user_id").cast("string")), 1, 12).alias("session_id"),
+    )
+
+
+def line_stream(spark, lines):
+    """Write lines into a folder of the shared directory and read that as a stream."""
+    path = scratch(spark, "lines")
+    lines.write.text(path)
+    return readers.read_event_stream(spark, path)
+
+
+def clean_lines(spark, sf):
+    return line_stream(spark, events.inject_faults(stream_events(spark, sf), "event_id", 0.0).select("value"))
+
+
+def faulty_lines(spark, sf):
+    return line_stream(spark, events.inject_faults(stream_events(spark, sf), "event_id", RATE).select("value"))
+
+
+def routed(spark, sf):
+    path, _ = run.run_available(
+        events.score_and_route(faulty_lines(spark, sf)), "routed", by=["route"]
+    )
+    return run.read_batches(spark, path)
+
+
+_FAULTY = (
+    EVENTS
+    + f""", h AS (SELECT *, md5(CAST(event_id AS VARCHAR) || '42') AS d,
+    CASE event_type WHEN 'view' THEN 'view' WHEN 'signup' THEN 'cart' WHEN 'purchase' THEN 'purchase'
+                    WHEN 'click' THEN 'fav' END AS behavior_type,
+    strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS event_time FROM ev),
+k AS (SELECT *, CASE WHEN CAST('0x' || substr(d, 1, 4) AS INTEGER) < {int(RATE * 65536)}
+        THEN CAST('0x' || substr(d, 5, 1) AS INTEGER) % 4 END AS kind,
+      CAST('0x' || substr(d, 6, 1) AS INTEGER) % 3 AS fld FROM h),
+r AS (SELECT *, CASE WHEN kind = 0 AND fld = 0 THEN 'missing user_id'
+        WHEN kind = 0 AND fld = 1 THEN 'missing item_id'
+        WHEN kind = 0 THEN 'missing event_time' WHEN kind = 1 THEN 'bad item_id'
+        WHEN kind = 2 THEN 'bad event_time' WHEN kind = 3 THEN 'event must be an object' END AS error,
+      CASE behavior_type WHEN 'purchase' THEN 0.95::DOUBLE WHEN 'cart' THEN 0.35::DOUBLE
+        WHEN 'fav' THEN 0.25::DOUBLE WHEN 'view' THEN 0.08::DOUBLE ELSE 0.12::DOUBLE END AS p FROM k)"""
+)
+
+
+@register(
+    "inject_faults",
+    with_(
+        _FAULTY,
+        """SELECT event_id, CASE kind WHEN 0 THEN 'drop_field' WHEN 1 THEN 'wrong_type'
+                  WHEN 2 THEN 'bad_timestamp' WHEN 3 THEN 'non_dict' END AS fault FROM r""",
+    ),
+)
+def inject_faults(spark, sf):
+    return events.inject_faults(stream_events(spark, sf), "event_id", RATE).drop("value")
+
+
+@register(
+    "parse_events",
+    with_(
+        _FAULTY,
+        """SELECT event_id, error, CASE WHEN error IS NULL THEN user_id END AS user_id,
+                  CASE WHEN error IS NULL THEN item_id END AS item_id,
+                  CASE WHEN error IS NULL THEN item_id % 500 + 1 END AS category_id,
+                  CASE WHEN error IS NULL THEN CAST(timestamp % 86400 // 3600 AS INTEGER) END AS hour,
+                  CASE WHEN error IS NULL THEN CAST(isodow(ts) - 1 AS INTEGER) END AS dayofweek,
+                  CASE WHEN error IS NULL THEN CAST(isodow(ts) >= 6 AS INTEGER)::DOUBLE END AS is_weekend
+           FROM r""",
+    ),
+)
+def parse_events(spark, sf):
+    lines = events.inject_faults(stream_events(spark, sf), "event_id", RATE).drop("fault")
+    parsed = events.parse_events(lines)
+    good = F.col("error").isNull()
+    kept = ("user_id", "item_id", "category_id", "hour", "dayofweek", "is_weekend")
+    return parsed.select("event_id", "error", *[F.when(good, F.col(c)).alias(c) for c in kept])
+
+
+@register(
+    "route_dead_letters",
+    with_(
+        _FAULTY,
+        """SELECT CASE WHEN error IS NULL THEN 'scored' ELSE 'dead' END AS route,
+                  coalesce(error, 'RULE_FALLBACK') AS error, count(*) AS cnt FROM r GROUP BY 1, 2""",
+    ),
+)
+def route_dead_letters(spark, sf):
+    return routed(spark, sf).groupBy("route", "error").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+@register(
+    "rule_score",
+    with_(
+        _FAULTY,
+        """SELECT event_time, user_id, item_id, CAST(p >= 0.5 AS INTEGER) AS predicted_label,
+                  p AS buy_probability, 'RULE_FALLBACK' AS error FROM r WHERE error IS NULL""",
+    ),
+)
+def rule_score(spark, sf):
+    scored = events.scored_events(routed(spark, sf))
+    return scored.select(
+        "event_time", "user_id", "item_id", "predicted_label", "buy_probability", "error"
+    )
+
+
+@register(
+    "dead_letters",
+    with_(
+        _FAULTY,
+        """SELECT error, count(*) AS cnt,
+                  count(*) FILTER (kind = 3) AS broken_payloads FROM r WHERE error IS NOT NULL GROUP BY error""",
+    ),
+)
+def dead_letters(spark, sf):
+    letters = events.dead_letters(routed(spark, sf))
+    return letters.groupBy("error").agg(
+        F.count(F.lit(1)).alias("cnt"),
+        F.count_if(F.col("raw") == events.BAD_PAYLOAD).alias("broken_payloads"),
+    )
+
+
+@register(
+    "scoring_summary",
+    with_(
+        _FAULTY,
+        """SELECT count(*) FILTER (error IS NULL) AS scored, count(*) FILTER (error IS NOT NULL) AS failed,
+                  count(*) FILTER (error IS NULL AND p >= 0.5) AS positive,
+                  CAST(count(*) FILTER (error IS NULL AND p >= 0.5) AS DOUBLE)
+                    / count(*) FILTER (error IS NULL) AS positive_ratio,
+                  round(avg(p) FILTER (error IS NULL), 8) AS avg_buy_probability FROM r""",
+    ),
+)
+def scoring_summary(spark, sf):
+    found = events.scoring_summary(events.failed_as_score(routed(spark, sf)))
+    return found.withColumn("avg_buy_probability", F.round("avg_buy_probability", 8))
+
+
+@register(
+    "pipeline_metrics",
+    with_(
+        _FAULTY,
+        """SELECT count(*) AS produced, count(*) FILTER (error IS NULL) AS consumed,
+                  count(*) FILTER (error IS NOT NULL) AS failed,
+                  count(*) FILTER (error IS NOT NULL) AS dead_lettered,
+                  count(*) FILTER (error IS NULL) AS fallback_predictions,
+                  count(*) FILTER (kind IS NOT NULL) AS chaos_injected FROM r""",
+    ),
+)
+def pipeline_metrics(spark, sf):
+    lines = events.inject_faults(stream_events(spark, sf), "event_id", RATE)
+    return metrics.pipeline_metrics(events.score_and_route(lines.drop("event_id")))
+
+
+@register(
+    "progress_metrics",
+    with_(
+        _FAULTY,
+        """SELECT count(*) AS produced, count(*) FILTER (error IS NULL) AS consumed,
+                  count(*) FILTER (error IS NOT NULL) AS dead_lettered,
+                  count(*) FILTER (error IS NULL) AS fallback_predictions FROM r""",
+    ),
+)
+def progress_metrics(spark, sf):
+    stream = metrics.observed(events.score_and_route(faulty_lines(spark, sf)))
+    _, query = run.run_available(stream, "observed", by=["route"])
+    per_batch = metrics.progress_metrics(spark, query)
+    counters = ("produced", "consumed", "dead_lettered", "fallback_predictions")
+    return per_batch.agg(*[F.sum(c).alias(c) for c in counters])
+
+
+_STREAM = (
+    EVENTS
+    + """, s AS (SELECT user_id, CASE event_type WHEN 'view' THEN 'view' WHEN 'signup' THEN 'cart'
+      WHEN 'purchase' THEN 'purchase' WHEN 'click' THEN 'fav' ELSE 'unknown' END AS behavior_type,
+    epoch_us(ts) // 1000 AS ms FROM ev)"""
+)
+
+
+@register(
+    "window_counts",
+    with_(
+        _STREAM,
+        """SELECT ms // 10000 * 10 AS window_start, count(*) FILTER (behavior_type = 'view') AS "view",
+                  count(*) FILTER (behavior_type = 'cart') AS cart,
+                  count(*) FILTER (behavior_type = 'purchase') AS purchase,
+                  count(*) FILTER (behavior_type IN ('fav', 'unknown')) AS other,
+                  count(*) FILTER (behavior_type NOT IN ('fav', 'unknown')) AS total,
+                  count(*) FILTER (behavior_type = 'view') / 10::DOUBLE AS view_rate,
+                  count(*) FILTER (behavior_type = 'purchase') / 10::DOUBLE AS purchase_rate
+           FROM s GROUP BY 1""",
+    ),
+)
+def window_counts(spark, sf):
+    counts = windows.window_counts(windows.timed_events(clean_lines(spark, sf)))
+    path, _ = run.run_available(counts, "windows", output_mode="update")
+    return run.latest(spark, path, ["window_start"])
+
+
+@register(
+    "running_totals",
+    with_(
+        _STREAM,
+        """SELECT behavior_type, count(*) AS cnt, count(*) * CAST(100.0 AS DOUBLE)
+             / CAST(sum(count(*)) OVER () AS DOUBLE) AS pct FROM s GROUP BY behavior_type""",
+    ),
+)
+def running_totals(spark, sf):
+    totals = windows.running_totals(windows.timed_events(clean_lines(spark, sf)))
+    path, _ = run.run_available(totals, "totals", output_mode="complete")
+    return windows.with_percent(run.last_batch(spark, path))
+
+
+_SESSIONS = """, b AS (SELECT *, CASE WHEN ms - lag(ms) OVER w > {ms} OR lag(ms) OVER w IS NULL
+      THEN 1 ELSE 0 END AS brk, row_number() OVER w AS rn FROM s WINDOW w AS (PARTITION BY user_id ORDER BY ms)),
+n AS (SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY rn ROWS UNBOUNDED PRECEDING) AS session_no FROM b)
+"""
+
+
+@register(
+    "stream_sessions",
+    with_(
+        _STREAM,
+        _SESSIONS.format(ms=21_600_000)
+        + """SELECT user_id, min(ms) AS start_ms, max(ms) AS end_ms, count(*) AS events
+             FROM n GROUP BY user_id, session_no""",
+    ),
+)
+def stream_sessions(spark, sf):
+    found = sessions.stream_sessions(windows.timed_events(clean_lines(spark, sf)), 21_600)
+    path, _ = run.run_available(found, "sessions", output_mode="complete")
+    return run.last_batch(spark, path)
+
+
+@register(
+    "stream_session_history",
+    with_(
+        _STREAM,
+        _SESSIONS.format(ms=21_600_000)
+        + """SELECT user_id, CAST(session_no AS BIGINT) AS session_no, min(ms) AS start_ms, max(ms) AS end_ms,
+                    count(*) AS events FROM n GROUP BY user_id, session_no""",
+    ),
+)
+def stream_session_history(spark, sf):
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    found = sessions.session_history(windows.timed_events(clean_lines(spark, sf)), 21_600)
+    path, _ = run.run_available(found, "history", output_mode="update")
+    return run.latest(spark, path, ["user_id", "session_no"]).drop("history")
+
+
+@register(
+    "online_zscore",
+    with_(
+        EVENTS,
+        """, f AS (SELECT item_id, timestamp FROM ev ORDER BY event_id LIMIT 1000),
+m AS (SELECT avg(item_id) AS m1, stddev_pop(item_id) AS s1, avg(timestamp) AS m2, stddev_pop(timestamp) AS s2 FROM f)
+SELECT count(*) AS consumed, round(avg((item_id - m1) / s1), 6) AS z_mean_item_id,
+       round(stddev_pop((item_id - m1) / s1), 6) AS z_std_item_id,
+       round(avg((timestamp - m2) / s2), 6) AS z_mean_timestamp,
+       round(stddev_pop((timestamp - m2) / s2), 6) AS z_std_timestamp FROM ev, m""",
+    ),
+)
+def online_zscore(spark, sf):
+    columns = ["item_id", "timestamp"]
+    e = A.events(spark, sf).select("event_id", *columns)
+    scaling = drift.fit_scaling(e, columns, ["event_id"])
+    path = scratch(spark, "numbers")
+    e.write.json(path)
+    stream = spark.readStream.schema(e.schema).json(path)
+    out, _ = run.run_available(drift.drift_report(stream, scaling), "drift", output_mode="complete")
+    found = run.last_batch(spark, out)
+    return found.withColumns({c: F.round(c, 6) for c in found.columns if c.startswith("z_")})
