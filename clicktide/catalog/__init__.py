@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clicktide.session import DEFAULTS
+from clicktide.session import DEFAULTS, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,7 @@ def register(name: str, sql: str | None = None):
 
     def add(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
             for key, value in DEFAULTS.items():
                 spark.conf.set(key, value)
             return fn(spark, sf_dir)

@@ -650,7 +650,7 @@ def order_by_limit(spark, sf):
 )
 def slice_rows(spark, sf):
     e = A.table(spark, sf, "events").select("event_id", "user_id", "event_type")
-    return sampling.slice_rows(e, "event_id", 500, 700).drop("total")
+    return sampling.slice_rows(e, "event_id", 500, 700)
 
 
 @register(

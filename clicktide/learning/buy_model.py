@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
@@ -74,12 +76,17 @@ def score(model: PipelineModel, features: DataFrame) -> DataFrame:
     return scored.select(*features.columns, "prediction", vector_to_array("probability")[1].alias("p"))
 
 
-def cross_validate(features: DataFrame, id_col: str, folds: int = 5, max_iter: int = 500) -> DataFrame:
+def cross_validate(
+    features: DataFrame, id_col: str, folds: int = 5, max_iter: int = 500, parallelism: int = 5
+) -> DataFrame:
     """Accuracy and AUC per stratified fold; average them for the reported figures."""
     dealt = materialize(stratified_folds(features, "label", id_col, folds), "folds")
-    rows = []
-    for fold in range(folds):
+
+    def run(fold: int) -> tuple:
         model = train_buy_model(dealt.where(F.col("fold") != fold), max_iter)
         held_out = score(model, dealt.where(F.col("fold") == fold))
-        rows.append((fold, *scores_of(held_out)))
+        return fold, *scores_of(held_out)
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        rows = list(pool.map(run, range(folds)))
     return features.sparkSession.createDataFrame(rows, "fold int, accuracy double, auc double")

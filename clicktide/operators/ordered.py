@@ -22,7 +22,8 @@ from clicktide.session import materialize
 
 CHUNK = "_chunk"
 _BLOCK_BITS = 16
-_LEVELS = 4  # 4 * 16 bits cover a 64-bit key
+_BLOCK = 1 << _BLOCK_BITS
+_BEFORE = (Window.unboundedPreceding, -1)
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -40,30 +41,37 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 def prefix_sum(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
     """Add ``out``: the sum of ``value`` over all rows with a smaller ``key``.
 
-    ``key`` is a unique, non-null integer column.
+    ``key`` is a unique, non-null integer column. ``df`` is a table of totals per key; it is
+    written once, because it is both summed up in blocks and read for the result.
     """
-    return _prefix(df, key, value, out, level=1)
-
-
-def _prefix(df: DataFrame, key: str, value: str, out: str, level: int) -> DataFrame:
-    block = f"_block{level}"
-    tagged = df.withColumn(block, F.shiftright(F.col(key).cast("bigint"), _BLOCK_BITS))
-    if level == _LEVELS:
-        # At most 2**16 keys are left, so a single group is safe.
-        inside = Window.partitionBy(F.lit(0)).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumn(out, F.coalesce(F.sum(value).over(inside), F.lit(0)))
-    total, before = f"_total{level}", f"_before{level}"
-    blocks = tagged.groupBy(block).agg(F.sum(value).alias(total))
-    starts = _prefix(blocks, block, total, before, level + 1).drop(total)
-    inside = Window.partitionBy(block).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    return _prefix(materialize(df, "totals"), key, value, out)
+
+
+def _prefix(totals: DataFrame, key: str, value: str, out: str) -> DataFrame:
+    ends = totals.agg(F.min(key), F.max(key)).first()
+    if ends[0] is None or ends[1] - ends[0] < _BLOCK:
+        # Fewer than 65,536 keys are left, so a single group is safe.
+        every = Window.partitionBy(F.lit(0)).orderBy(key).rowsBetween(*_BEFORE)
+        return totals.withColumn(out, F.coalesce(F.sum(value).over(every), F.lit(0)))
+    inside = Window.partitionBy("__block").orderBy(key).rowsBetween(*_BEFORE)
+    tagged = totals.withColumn("__block", block_of(key))
+    blocks = tagged.groupBy(F.col("__block").alias("__key")).agg(F.sum(value).alias("__sum"))
+    starts = _prefix(materialize(blocks, "blocks"), "__key", "__sum", "__start").select(
+        F.col("__key").alias("__block"), "__start"
+    )
     return (
-        tagged.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
-        .join(starts, block)
-        .withColumn(out, F.col("_inside") + F.col(before))
-        .drop("_inside", before, block)
+        tagged.withColumn("__inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+        .join(starts, "__block")
+        .withColumn(out, F.col("__inside") + F.col("__start"))
+        .select(*totals.columns, out)
     )
 
 
+def block_of(key: str) -> Column:
+    """Number of the block of 65,536 neighbouring keys that ``key`` lies in."""
+    return F.shiftright(F.col(key).cast("bigint"), _BLOCK_BITS)
+
+
 def ordered_chunks(df: DataFrame, series: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Rows cut into balanced, ordered chunks; ``_chunk`` rises along (series, order).
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicktide.functions.scalars import BEHAVIORS
-from clicktide.operators.cleaning import DEDUP_KEYS_WITH_BEHAVIOR, violators
+from clicktide.operators.cleaning import DEDUP_KEYS_WITH_BEHAVIOR
 
 # What the behaviour log must hold.
 REQUIRED_COLUMNS = ("user_id", "item_id", "behavior_type", "timestamp")
@@ -25,12 +25,6 @@ def _result(name: str, passed: Column, detail: Column) -> Column:
     )
 
 
-def duplicate_rows(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS_WITH_BEHAVIOR) -> DataFrame:
-    """One row: rows beyond the first of each key. Looks at all rows, not at a sample."""
-    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n"))
-
-
 def quality_report(
     df: DataFrame,
     min_rows: int = MIN_ROWS,
@@ -38,38 +32,73 @@ def quality_report(
     required: Sequence[str] = REQUIRED_COLUMNS,
     max_null_ratio: float = MAX_NULL_RATIO,
 ) -> DataFrame:
-    """All checks on a behaviour log. The row-wise ones share a single pass."""
+    """All checks on a behaviour log, from one scan.
+
+    Rows are grouped by the duplicate key, groups by user, and users to one row. Everything
+    that is checked is a function of the key, so each step adds up the counts of the one
+    before; copies and hot users are merged before each shuffle. Duplicates are looked for in
+    all rows, not in a sample.
+    """
     missing = [c for c in required if c not in df.columns]
-    rows = F.count(F.lit(1))
+    rows = F.col("rows")
     size = [
         _result("rows_present", rows > 0, rows),
         _result("rows_enough", rows >= min_rows, rows),
         _result("columns_present", F.lit(not missing), F.lit(",".join(missing))),
     ]
     if missing:
-        return df.agg(F.array(*size).alias("r")).select(F.inline("r"))
-
+        counted = df.agg(F.count(F.lit(1)).alias("rows"))
+        return counted.select(F.inline(F.array(*size)))
+
+    nulls = {f"null_{c}": F.col(c).isNull() for c in required}
+    empty = F.lit(True)
+    for condition in nulls.values():
+        empty = empty & condition
+    conditions = nulls | {"empty": empty}
+    groups = df.groupBy(*DEDUP_KEYS_WITH_BEHAVIOR).agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count_if(condition).alias(name) for name, condition in conditions.items()],
+    )
     b = F.col("behavior_type")
-    outside = F.count_if(~F.coalesce(b.isin(*allowed), F.lit(False)))
-    empty = F.count_if(F.coalesce(*[F.col(c).cast("string") for c in required]).isNull())
-    negative = F.count_if(F.col("timestamp") < 0)
-    checks = size + [
-        _result("behavior_domain", outside == 0, outside),
-        _result("no_empty_row", empty == 0, empty),
-        _result("no_negative_time", negative == 0, negative),
+
+    def rows_if(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, rows)), F.lit(0))
+
+    per_user = groups.groupBy("user_id").agg(
+        F.sum("rows").alias("rows"),
+        F.sum(rows - 1).alias("copies"),
+        rows_if(b == "buy").alias("buys"),
+        rows_if(b == "pv").alias("views"),
+        rows_if(~F.coalesce(b.isin(*allowed), F.lit(False))).alias("outside"),
+        rows_if(F.col("timestamp") < 0).alias("negative"),
+        *[F.sum(name).alias(name) for name in conditions],
+    )
+    summed = ("rows", "copies", "outside", "negative", *conditions)
+    totals = per_user.agg(
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in summed],
+        F.count_if(F.col("buys") > F.col("views")).alias("violators"),
+    )
+
+    def none(name: str, counter: str) -> Column:
+        return _result(name, F.col(counter) == 0, F.col(counter))
+
+    checks = [
+        *size,
+        none("behavior_domain", "outside"),
+        none("no_empty_row", "empty"),
+        none("no_negative_time", "negative"),
+        *[
+            _result(
+                f"null_ratio_{c}",
+                F.col(f"null_{c}") <= rows * F.lit(max_null_ratio),
+                F.col(f"null_{c}"),
+            )
+            for c in required
+        ],
+        none("buy_within_pv", "violators"),
+        none("no_duplicates", "copies"),
     ]
-    for c in required:
-        nulls = F.count_if(F.col(c).isNull())
-        checks.append(
-            _result(f"null_ratio_{c}", F.coalesce(nulls <= rows * F.lit(max_null_ratio), F.lit(True)), nulls)
-        )
-    simple = df.agg(F.array(*checks).alias("r")).select(F.inline("r"))
-    bad_users = violators(df).agg(F.count(F.lit(1)).alias("n"))
-    grouped = [("buy_within_pv", bad_users), ("no_duplicates", duplicate_rows(df))]
-    for name, counted in grouped:
-        one = counted.select(_result(name, F.col("n") == 0, F.col("n")).alias("r")).select("r.*")
-        simple = simple.unionByName(one)
-    return simple
+    return totals.select(F.inline(F.array(*checks)))
 
 
 def cleaned_log_report(df: DataFrame) -> DataFrame:

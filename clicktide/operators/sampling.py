@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicktide.functions.scalars import hash_key
-from clicktide.operators.ordered import prefix_sum
+from clicktide.operators.ordered import block_of, prefix_sum
 
 _BUCKET_HEX = 5  # 16**5 buckets: an offset table of at most 1,048,576 rows per class
 
@@ -16,35 +16,53 @@ _BUCKET_HEX = 5  # 16**5 buckets: an offset table of at most 1,048,576 rows per
 def page(df: DataFrame, key: str, offset: int = 0, limit: int = 20) -> DataFrame:
     """Rows ``offset`` .. ``offset + limit - 1`` by the unique integer ``key``, plus ``total``.
 
-    Keys are counted in blocks of 65,536; only blocks that reach into the page are kept, so a
-    page deep in the table does not sort or collect what lies before it.
+    Keys are counted in blocks of 65,536. The page's blocks give a key range that the scan can
+    prune on and an offset inside it of less than one block, so a page deep in the table
+    neither sorts nor collects what lies before it.
     """
     if offset < 0 or not 1 <= limit <= 100:
         raise ValueError("offset must be >= 0 and limit within 1..100")
-    return slice_rows(df, key, offset, offset + limit)
+    needed = blocks_of_range(df, key, offset, offset + limit)
+    found = needed.where("_needed").agg(
+        F.min("_block").alias("first"), F.max("_block").alias("last"), F.min("_start").alias("start")
+    ).first()
+    total = needed.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    if found["first"] is None:
+        return df.limit(0).withColumns({"position": F.lit(offset).cast("bigint"), "total": F.lit(total)})
+    in_range = F.col(key).between(found["first"] << 16, ((found["last"] + 1) << 16) - 1)
+    rows = df.where(in_range).orderBy(key).offset(offset - found["start"]).limit(limit)
+    # At most 100 rows are left to number.
+    order = Window.partitionBy(F.lit(0)).orderBy(key)
+    return rows.withColumns(
+        {
+            "position": (F.row_number().over(order) + (offset - 1)).cast("bigint"),
+            "total": F.lit(total).cast("bigint"),
+        }
+    )
 
 
-def slice_rows(df: DataFrame, key: str, start: int, stop: int) -> DataFrame:
-    """Rows by position, ``start`` included and ``stop`` not, in order of ``key``."""
-    block = F.shiftright(F.col(key).cast("bigint"), 16)
-    counts = df.groupBy(block.alias("_block")).agg(F.count(F.lit(1)).alias("_n"))
+def blocks_of_range(df: DataFrame, key: str, start: int, stop: int) -> DataFrame:
+    """Blocks of keys with their size, the position of their first row, and whether they reach
+    into positions ``start`` .. ``stop - 1``."""
+    counts = df.groupBy(block_of(key).alias("_block")).agg(F.count(F.lit(1)).alias("_n"))
     placed = prefix_sum(counts, "_block", "_n", "_start")
-    total = counts.agg(F.sum("_n").alias("total"))
-    needed = placed.where(
-        (F.col("_start") < stop) & (F.col("_start") + F.col("_n") > start)
-    ).select("_block", "_start")
-    rows = df.withColumn("_block", block).join(needed, "_block")
+    reaches = (F.col("_start") < stop) & (F.col("_start") + F.col("_n") > start)
+    return placed.withColumn("_needed", reaches)
+
+
+def slice_rows(df: DataFrame, key: str, start: int, stop: int) -> DataFrame:
+    """Rows by position, ``start`` included and ``stop`` not, in order of ``key``.
+
+    However long the slice, rows are numbered inside their block of at most 65,536 keys.
+    """
+    needed = blocks_of_range(df, key, start, stop).where("_needed").select("_block", "_start")
+    rows = df.withColumn("_block", block_of(key)).join(needed, "_block")
     inside = Window.partitionBy("_block").orderBy(key)
     position = F.col("_start") + F.row_number().over(inside) - 1
-    chosen = rows.withColumn("position", position.cast("bigint")).where(
-        (F.col("position") >= start) & (F.col("position") < stop)
-    )
-    # ``total`` is one row; a constant key turns the attachment into an equi-join.
-    one = F.lit(1).alias("_one")
     return (
-        chosen.select(*df.columns, "position", one)
-        .join(F.broadcast(total.select("total", one)), "_one")
-        .drop("_one")
+        rows.withColumn("position", position.cast("bigint"))
+        .where((F.col("position") >= start) & (F.col("position") < stop))
+        .select(*df.columns, "position")
         .orderBy(key)
     )
 

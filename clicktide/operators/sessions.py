@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicktide.operators.ordered import null_safe_join, prefix_sum
+from clicktide.session import materialize
 
 SLOT = "_slot"
 
@@ -61,9 +62,12 @@ def sessionize_global(
 ) -> DataFrame:
     """As ``sessionize``, but ids run on over all users in (user, time) order.
 
-    The number of sessions of smaller users is a prefix sum over per-user totals.
+    The number of sessions of smaller users is a prefix sum over per-user totals. The slot
+    table is used for these and for the ids, so it is written once.
     """
-    spans = number_sessions(slot_spans(df, [user], timeout, time=time), [user], timeout)
+    spans = materialize(
+        number_sessions(slot_spans(df, [user], timeout, time=time), [user], timeout), "slots"
+    )
     totals = spans.groupBy(user).agg(F.sum("_starts").alias("_sessions"))
     before = prefix_sum(totals, user, "_sessions", "_before").select(user, "_before")
     ids = spans.join(before, user).select(

@@ -38,12 +38,19 @@ def clean_behavior(
 
     rest = survivor_order(log.columns, keys)
     is_view = F.col("behavior_type") == "pv"
-    kept = valid.groupBy(*keys).agg(
-        F.min(F.struct(*rest)).alias("_row"), F.count_if(is_view).alias("_views")
-    )
-    rows = kept.select(
-        *[F.col(c) if c in keys else F.col(f"_row.{c}") for c in log.columns], "_views"
+    merged = [F.min(F.struct(*rest or [F.lit(1).alias("_one")])).alias("_row")]
+    if not dedup_first:
+        merged.append(F.count_if(is_view).alias("_views"))
+    kept = valid.groupBy(*keys).agg(*merged)
+    rows = kept.withColumn(SLOT, slot_of(timeout)).withColumns(
+        {c: F.col(f"_row.{c}") for c in rest}
     )
+    # ``rows`` is used twice. Conditions that name every merged and join column, true though
+    # they are, keep both uses alike, so that Spark merges once and reuses the shuffle.
+    for c in (*series, SLOT, "_row"):
+        rows = rows.where(F.col(c).isNotNull())
+    if not dedup_first:
+        rows = rows.where(F.col("_views") >= 0)
 
     counted_views = F.count_if(is_view) if dedup_first else F.sum("_views")
     spans = slot_spans(
@@ -63,8 +70,4 @@ def clean_behavior(
         .where((F.col("_pv_counted") <= pv_threshold) & (F.col("_buy") <= F.col("_pv")))
         .select(*series, SLOT, "session_id")
     )
-    return (
-        rows.withColumn(SLOT, slot_of(timeout))
-        .join(good, [*series, SLOT])
-        .select(*log.columns, "session_id")
-    )
+    return rows.join(good, [*series, SLOT]).select(*log.columns, "session_id")
