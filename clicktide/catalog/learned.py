@@ -176,7 +176,7 @@ def buy_model_scores(spark, sf):
 
 @register("cv_metrics")
 def cv_metrics(spark, sf):
-    return buy_model.cross_validate(feature_rows(spark, sf), "event_id")
+    return buy_model.cv_summary(buy_model.cross_validate(feature_rows(spark, sf), "event_id"))
 
 
 @register("score_stream")

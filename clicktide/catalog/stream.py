@@ -129,6 +129,36 @@ def rule_score(spark, sf):
     )
 
 
+def make_hour_model():
+    """Stands in for loading a model of another library."""
+
+    def predict(rows):
+        return (rows[:, 3] + rows[:, 4]) / 32.0
+
+    return predict
+
+
+@register(
+    "external_score",
+    with_(
+        _FAULTY,
+        """SELECT event_time, user_id, item_id, CAST(q >= 0.5 AS INTEGER) AS predicted_label,
+                  q AS buy_probability FROM (
+             SELECT *, (timestamp % 86400 // 3600 + isodow(ts) - 1) / 32::DOUBLE AS q FROM r)
+           WHERE error IS NULL""",
+    ),
+)
+def external_score(spark, sf):
+    def scorer(parsed):
+        return events.external_score(parsed, make_hour_model, batch_size=1000)
+
+    path, _ = run.run_available(
+        events.score_and_route(faulty_lines(spark, sf), scorer), "external", by=["route"]
+    )
+    scored = events.scored_events(run.read_batches(spark, path))
+    return scored.select("event_time", "user_id", "item_id", "predicted_label", "buy_probability")
+
+
 @register(
     "dead_letters",
     with_(

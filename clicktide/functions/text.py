@@ -29,27 +29,23 @@ STOPWORDS = frozenset(
 )
 
 # A token of only these characters is punctuation.
-PUNCTUATION = r"^[，。！？、；：\"'（）【】 ]+$"
+PUNCTUATION = "，。！？、；：\"'（）【】 "
 
 _CJK = r"㐀-䶿一-鿿"
 
 
+_WORD = rf"[\p{{L}}\p{{M}}\p{{N}}_&&[^{_CJK}]]++"
+# The look-ahead takes the token, the rest moves on: a whole word, or one CJK character.
+TOKEN = rf"(?=([{_CJK}]{{2}}|{_WORD}))(?:[{_CJK}]|{_WORD})"
+
+
 def word_tokens(text: Column) -> Column:
-    """Array of tokens: words of letters, digits and underscore; CJK runs as pairs of characters.
+    """Array of tokens: words of letters, digits and underscore; CJK text as pairs of
+    neighbouring characters.
 
     Needs no dictionary. A segmenter that has one can be plugged in as a vectorised UDF.
     """
-    runs = F.regexp_extract_all(text, F.lit(rf"[{_CJK}]+|[\p{{L}}\p{{M}}\p{{N}}_&&[^{_CJK}]]+"), F.lit(0))
-    pairs = F.transform(
-        runs,
-        lambda run: F.when(
-            run.rlike(rf"^[{_CJK}]{{3,}}$"),
-            F.transform(
-                F.sequence(F.lit(1), F.length(run) - 1), lambda i: F.substring(run, i, F.lit(2))
-            ),
-        ).otherwise(F.array(run)),
-    )
-    return F.flatten(pairs)
+    return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(1))
 
 
 def is_countable(word: Column, stopwords=STOPWORDS) -> Column:
@@ -57,8 +53,7 @@ def is_countable(word: Column, stopwords=STOPWORDS) -> Column:
     return (
         (F.length(word) >= 2)
         & ~word.isin(*sorted(stopwords))
-        & ~word.rlike(r"^\p{N}+$")
-        & ~word.rlike(PUNCTUATION)
+        & ~word.rlike(rf"^(?:\p{{N}}++|[{PUNCTUATION}]++)$")
     )
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicktide.functions.scalars import ratio
-from clicktide.learning.evaluate import scores_of
+from clicktide.learning.evaluate import accuracy, scores_of
 from clicktide.learning.features import ordinal_encode
 from clicktide.learning.tfidf import CharTfidf, fit_char_tfidf, fuse
 from clicktide.operators.cleaning import fill_unknown
@@ -124,3 +124,18 @@ def permuted(df: DataFrame, id_col: str, column: str, seed: int = 42) -> DataFra
     receivers = hash_rank(df, id_col, seed).drop(column, "group_size")
     givers = hash_rank(df.select(id_col, column), id_col, seed + 1).select("rank", column)
     return receivers.join(givers, "rank").drop("rank")
+
+
+def permutation_importance(
+    model, prepared: DataFrame, id_col: str, columns: Sequence[str] = DENSE
+) -> DataFrame:
+    """Loss of accuracy on the test rows when one dense column is dealt out anew."""
+    test = prepared.where("is_test").drop("features", "dense")
+    assemble = VectorAssembler(inputCols=["text", *columns], outputCol="features")
+
+    def measured(df: DataFrame) -> float:
+        return accuracy(model.transform(assemble.transform(df))).first()[0]
+
+    whole = measured(test)
+    rows = [(c, whole - measured(permuted(test, id_col, c))) for c in columns]
+    return prepared.sparkSession.createDataFrame(rows, "feature string, accuracy_loss double")

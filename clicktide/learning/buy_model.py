@@ -90,3 +90,12 @@ def cross_validate(
     with ThreadPoolExecutor(parallelism) as pool:
         rows = list(pool.map(run, range(folds)))
     return features.sparkSession.createDataFrame(rows, "fold int, accuracy double, auc double")
+
+
+def cv_summary(folds: DataFrame) -> DataFrame:
+    """Mean accuracy and AUC over the folds."""
+    return folds.agg(
+        F.count(F.lit(1)).alias("folds"),
+        F.avg("accuracy").alias("accuracy_mean"),
+        F.avg("auc").alias("auc_mean"),
+    )

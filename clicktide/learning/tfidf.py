@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 def characters(text: Column) -> Column:
     """Lower-cased characters; a run of two or more white spaces counts as one space."""
     tidy = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"(?U)\s\s+", " ")
-    return F.filter(F.split(tidy, ""), lambda c: c != "")
+    return F.array_remove(F.split(tidy, ""), "")
 
 
 @dataclass
@@ -51,20 +51,23 @@ class CharTfidf:
 
 def fit_char_tfidf(df: DataFrame, column: str, max_features: int = 500) -> CharTfidf:
     """The ``max_features`` most frequent characters; idf = ln((1 + n) / (1 + df)) + 1."""
-    chars = characters(F.col(column))
-    # An empty text stands for "one document", so the same pass counts the documents.
-    counted = F.concat(
-        F.transform(chars, lambda c: F.struct(c.alias("c"), F.lit(1).alias("tf"), F.lit(0).alias("df"))),
-        F.transform(
-            F.array_distinct(chars),
-            lambda c: F.struct(c.alias("c"), F.lit(0).alias("tf"), F.lit(1).alias("df")),
-        ),
-        F.array(F.struct(F.lit("").alias("c"), F.lit(0).alias("tf"), F.lit(1).alias("df"))),
+    mark = "\0"
+    once = F.transform(F.array_distinct("chars"), lambda c: F.concat(F.lit(mark), c))
+    # One pass counts all three: characters as they are, once per document with a mark in
+    # front, and documents by the mark alone.
+    counted = (
+        df.select(characters(F.col(column)).alias("chars"))
+        .select(F.explode(F.concat("chars", once, F.array(F.lit(mark)))).alias("token"))
+        .groupBy("token")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
+    marked = F.startswith("token", F.lit(mark))
     totals = (
-        df.select(F.inline(counted))
-        .groupBy("c")
-        .agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+        counted.groupBy(F.when(marked, F.substring("token", 2, 8)).otherwise(F.col("token")).alias("c"))
+        .agg(
+            F.coalesce(F.sum(F.when(~marked, F.col("n"))), F.lit(0)).alias("tf"),
+            F.coalesce(F.sum(F.when(marked, F.col("n"))), F.lit(0)).alias("df"),
+        )
         .orderBy(F.col("c") != "", F.desc("tf"), "c")
         .limit(max_features + 1)
         .collect()

@@ -115,11 +115,13 @@ def word_frequency(
         .where(F.col("review").isNotNull())
         .select(F.explode(tokenizer(F.col("review"))).alias("name"))
         .select(F.trim("name").alias("name"))
-        .where(X.is_countable(F.col("name"), stopwords))
+        .where(F.length("name") >= 2)
     )
+    # What must not count is sorted out after counting, once per word instead of per use.
     return (
         words.groupBy("name")
         .agg(F.count(F.lit(1)).alias("value"))
+        .where(X.is_countable(F.col("name"), stopwords))
         .orderBy(F.desc("value"), "name")
         .limit(top_n)
     )

@@ -15,6 +15,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, spread over the cores if the files give fewer splits than there are.
+
+    Work on texts is heavy per row. Tables of many files have plenty of splits and are left
+    as they are.
+    """
+    d = table(spark, sf_dir, "documents")
+    cores = spark.sparkContext.defaultParallelism
+    return d.repartition(cores, "doc_id") if d.rdd.getNumPartitions() < cores else d
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with ``timestamp`` in epoch seconds and ``item_id`` from the properties."""
     e = table(spark, sf_dir, "events")
@@ -88,7 +99,7 @@ def raw_weblog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as reviews; the label is null where a document has none."""
-    d = table(spark, sf_dir, "documents").select(
+    d = documents(spark, sf_dir).select(
         "doc_id", F.col("source").alias("cat"), F.col("text").alias("review")
     )
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import predict_batch_udf, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -172,6 +172,33 @@ def model_score(events: DataFrame, model: PipelineModel) -> DataFrame:
     )
 
 
+def external_score(events: DataFrame, make_predict, batch_size: int = 50) -> DataFrame:
+    """Scores from a model that is not Spark's.
+
+    ``make_predict`` loads the model, once per Python worker, and returns a function from a
+    matrix of the numeric features (buckets as numbers) to purchase probabilities. It is
+    called on batches of ``batch_size`` rows.
+    """
+    inputs = F.array(*[F.col(c).cast("double") for c in FEATURE_COLUMNS])
+    predict = predict_batch_udf(
+        make_predict,
+        return_type=T.DoubleType(),
+        batch_size=batch_size,
+        input_tensor_shapes=[[len(FEATURE_COLUMNS)]],
+    )
+    # Rows that failed to parse have no features; zeros stand in, and their score is dropped.
+    usable = F.when(F.col("error").isNull(), inputs).otherwise(
+        F.array(*[F.lit(0.0)] * len(FEATURE_COLUMNS))
+    )
+    scored = events.withColumn("buy_probability", predict(usable))
+    return scored.withColumns(
+        {
+            "predicted_label": (F.col("buy_probability") >= 0.5).cast("int"),
+            "score_tag": F.lit(""),
+        }
+    )
+
+
 def load_scorer(spark: SparkSession, model_path: str | None):
     """The saved model if it loads and passes a probe with one valid event, else the rules."""
     if model_path is None:

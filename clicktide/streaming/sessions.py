@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+# The driver-side helper of stateful operators does not see shipped packages, so the processor
+# travels as a whole.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SESSION_ROWS = (
     "user_id bigint, session_no bigint, start_ms bigint, end_ms bigint, events bigint, history string"
 )
