@@ -58,12 +58,21 @@ def main() -> None:
         begun = time.perf_counter()
         catalog.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - begun, 3)
+
+    def per_second(table: str, query: str) -> float:
+        return round(spark.read.parquet(f"{sf_dir}/{table}.parquet").count() / seconds[query], 1)
+
     result = {
         "metric": "headline_total",
         "value": round(sum(seconds.values()), 3),
         "unit": "sec",
         "queries": seconds,
         "sf": Path(sf_dir).name.removeprefix("sf"),
+        "rates": {
+            "events_scored_per_sec": per_second("events", "route_dead_letters"),
+            "log_rows_cleaned_per_sec": per_second("events", "clean_behavior"),
+            "texts_extracted_per_sec": per_second("documents", "extract_features"),
+        },
     }
     print(json.dumps(result))
 

@@ -322,12 +322,21 @@ used AS (SELECT * FROM kept WHERE user_id IN (SELECT user_id FROM good))
 
 @register("clean_behavior", _clean_sql(LONG_TIMEOUT, THRESHOLD))
 def clean_behavior_query(spark, sf):
+    return clean_behavior(
+        A.noisy_log(spark, sf), THRESHOLD, LONG_TIMEOUT, behaviors=S.BEHAVIORS
+    )
+
+
+@register("clean_behavior_any_type", _clean_sql(LONG_TIMEOUT, THRESHOLD))
+def clean_behavior_any_type(spark, sf):
     return clean_behavior(A.noisy_log(spark, sf), THRESHOLD, LONG_TIMEOUT)
 
 
 @register("clean_behavior_per_type", _clean_sql(1800, 4 * THRESHOLD, per_behavior=True))
 def clean_behavior_per_type(spark, sf):
-    return clean_behavior(A.noisy_log(spark, sf), 4 * THRESHOLD, 1800, per_behavior=True)
+    return clean_behavior(
+        A.noisy_log(spark, sf), 4 * THRESHOLD, 1800, per_behavior=True, behaviors=S.BEHAVIORS
+    )
 
 
 # -- profiles --------------------------------------------------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clicktide.functions.scalars import BEHAVIORS
 from clicktide.operators.cleaning import removal_report
 from clicktide.operators.quality import quality_report
 from clicktide.plans.behavior import clean_behavior
@@ -23,8 +24,10 @@ def run_etl(
     """Read once as text, clean, write by behaviour; returns the written table.
 
     The raw log is not copied to a staging table first: the cleaning reads the CSV with the
-    columns it needs. ``cleaning`` goes to ``clean_behavior``.
+    columns it needs. Only the four behaviour types are kept. ``cleaning`` goes to
+    ``clean_behavior``.
     """
+    cleaning = {"behaviors": BEHAVIORS} | cleaning
     cleaned = clean_behavior(read_behavior_csv(spark, csv_path, schema), **cleaning)
     write_partitioned(cleaned, out, "behavior_type", codec=codec, level=level)
     return spark.read.parquet(out)

@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from clicktide.functions.scalars import BEHAVIORS
 from clicktide.operators import sessions
 from clicktide.plans.behavior import clean_behavior
 
@@ -104,10 +105,32 @@ def test_cleaned_log_passes_its_checks(log):
 
 @pytest.mark.parametrize("per_behavior", [False, True])
 @pytest.mark.parametrize("dedup_first", [False, True])
-def test_merge_runs_once(log, per_behavior, dedup_first):
+@pytest.mark.parametrize("behaviors", [None, BEHAVIORS])
+def test_merge_runs_once(log, per_behavior, dedup_first, behaviors):
     """Both uses of the merged rows share one shuffle."""
     rows = log(views(1, 50) + views(2, 3))
-    cleaned = clean_behavior(rows, per_behavior=per_behavior, dedup_first=dedup_first)
+    cleaned = clean_behavior(
+        rows, per_behavior=per_behavior, dedup_first=dedup_first, behaviors=behaviors
+    )
     cleaned.collect()
     plan = cleaned._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("ReusedExchange") == 1
+    assert ("SortAggregate" in plan) == (behaviors is None)
+
+
+@pytest.mark.parametrize("per_behavior", [False, True])
+@pytest.mark.parametrize("dedup_first", [False, True])
+def test_both_merges_agree(log, per_behavior, dedup_first):
+    rng = random.Random(9)
+    rows = log([(rng.randrange(12), rng.randrange(4), rng.randrange(-3, 5), rng.choice(BEHAVIORS + ("pv",)),
+                 rng.randrange(-100, 4000) // 9 * 9) for _ in range(3000)])
+    options = dict(pv_threshold=90, per_behavior=per_behavior, dedup_first=dedup_first)
+    sorting = clean_behavior(rows, **options)
+    hashing = clean_behavior(rows, **options, behaviors=BEHAVIORS)
+    assert sorted(map(tuple, sorting.collect())) == sorted(map(tuple, hashing.collect()))
+
+
+def test_other_types_go_only_if_types_are_given(log):
+    rows = log([(1, 1, 1, "pv", 10), (1, 2, 1, "share", 20)])
+    assert clean_behavior(rows).count() == 2
+    assert clean_behavior(rows, behaviors=BEHAVIORS).count() == 1
