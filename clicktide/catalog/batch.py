@@ -488,7 +488,7 @@ def hot_items(spark, sf):
 )
 def disallowed_behaviors(spark, sf):
     log = A.raw_weblog(spark, sf).select(S.standardize("event_type").alias("behavior_type"))
-    return profile.observed_funnel_violations(log, ("view", "click", "purchase"))
+    return profile.disallowed_behaviors(log, ("view", "click", "purchase"))
 
 
 # -- sessions and series -----------------------------------------------------------------

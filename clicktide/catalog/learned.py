@@ -63,15 +63,16 @@ def ordinal_encode(spark, sf):
     "impute_median",
     with_(
         EVENTS,
-        """SELECT event_id, coalesce(x, (SELECT median(CASE WHEN event_type <> 'error' THEN value END) FROM ev))
-             AS value FROM (SELECT event_id, CASE WHEN event_type <> 'error' THEN value END AS x FROM ev)""",
+        """SELECT event_id, round(coalesce(x, (SELECT median(CASE WHEN event_type <> 'error' THEN value END)
+             FROM ev)), 6) AS value FROM (SELECT event_id, CASE WHEN event_type <> 'error' THEN value END AS x FROM ev)""",
     ),
 )
 def impute_median(spark, sf):
     gappy = A.events(spark, sf).select(
         "event_id", F.when(F.col("event_type") != "error", F.col("value")).alias("value")
     )
-    return features.impute_median(gappy, ["value"])
+    filled = features.impute_median(gappy, ["value"])
+    return filled.withColumn("value", F.round("value", 6))
 
 
 @register(

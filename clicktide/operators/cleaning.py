@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clicktide.functions import scalars as S
+from clicktide.operators.ordered import join_per_key
 
 DEDUP_KEYS = ("user_id", "item_id", "timestamp")
 DEDUP_KEYS_WITH_BEHAVIOR = ("user_id", "item_id", "behavior_type", "timestamp")
@@ -113,7 +114,7 @@ def suspect_users(df: DataFrame, threshold: int = 500, dedup_first: bool = True)
 
 def drop_suspects(df: DataFrame, suspects: DataFrame) -> DataFrame:
     """Anti-join; adaptive execution broadcasts the suspects only if they measure small."""
-    return df.join(suspects.select("user_id"), "user_id", "left_anti")
+    return join_per_key(df, suspects.select("user_id"), ["user_id"], "left_anti").select(*df.columns)
 
 
 def user_balance(df: DataFrame) -> DataFrame:
@@ -130,7 +131,7 @@ def violators(df: DataFrame) -> DataFrame:
 
 
 def keep_valid_users(df: DataFrame, valid_users: DataFrame) -> DataFrame:
-    return df.join(valid_users.select("user_id"), "user_id", "left_semi")
+    return join_per_key(df, valid_users.select("user_id"), ["user_id"], "left_semi").select(*df.columns)
 
 
 def numeric_columns(

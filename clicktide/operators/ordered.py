@@ -38,6 +38,20 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def join_per_key(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join rows with a table aggregated by the same keys, of which one may be very hot.
+
+    Such a table already lies partitioned by the keys. Spark would leave it there, and then
+    adaptive execution cannot split the hot key's rows, for it splits a join only where both
+    sides were shuffled for it. A hash of the keys as one more key asks for that shuffle.
+    Where the table measures small it is broadcast anyway.
+    """
+    joined = rows.withColumn("__hash", F.xxhash64(*keys)).join(
+        per_key.withColumn("__hash", F.xxhash64(*keys)), [*keys, "__hash"], how
+    )
+    return joined.drop("__hash")
+
+
 def prefix_sum(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
     """Add ``out``: the sum of ``value`` over all rows with a smaller ``key``.
 

@@ -141,6 +141,6 @@ def hot_item_share(df: DataFrame, top: float = 0.2, item: str = "item_id") -> Da
     return sums.withColumn("hot_share", S.ratio(F.col("hot_rows"), F.col("total_rows")))
 
 
-def observed_funnel_violations(df: DataFrame, allowed: tuple[str, ...] = S.BEHAVIORS) -> DataFrame:
+def disallowed_behaviors(df: DataFrame, allowed: tuple[str, ...] = S.BEHAVIORS) -> DataFrame:
     """Behaviours that occur but are not allowed."""
     return df.select("behavior_type").where(~F.col("behavior_type").isin(*allowed)).distinct()

@@ -16,6 +16,7 @@ from clicktide.operators.ordered import (
     carry_over,
     earlier_chunks,
     in_chunk,
+    join_per_key,
     ordered_chunks,
     running_position,
     with_carry,
@@ -143,8 +144,10 @@ def regression_slope(
     placed = running_position(df.select(*wanted), series, list(order) or [time])
     sizes = placed.groupBy(*series).agg(F.count(F.lit(1)).alias("_n"))
     dropped = F.greatest(F.lit(1), F.floor(F.col("_n") * F.lit(skip))).cast("bigint")
-    joined = placed.join(sizes, list(series)) if series else placed.withColumn(
-        "_n", F.lit(sizes.first()["_n"])
+    joined = (
+        join_per_key(placed, sizes, list(series), "inner")
+        if series
+        else placed.withColumn("_n", F.lit(sizes.first()["_n"]))
     )
     kept = (F.col("_n") >= 3) & (F.col("position") > dropped)
     y, x = F.when(kept, F.col(depth).cast("double")), F.when(kept, F.col(time).cast("double"))
@@ -173,14 +176,13 @@ def histogram(df: DataFrame, series: Sequence[str], value: str, bins: int = 30)
     )
     position = (F.col(value) - lo) / (hi - lo) * bins
     index = F.least(F.lit(bins - 1), F.floor(position)).cast("bigint")
-    return (
-        df.where(F.col(value).isNotNull())
-        .join(ends, list(series))
-        .groupBy(*series, index.alias("bin"))
-        .agg(
-            (F.max(lo + (hi - lo) * index / bins)).alias("bin_start"),
-            F.count(F.lit(1)).alias("cnt"),
-        )
+    rows = df.where(F.col(value).isNotNull())
+    if series:
+        placed = join_per_key(rows, ends, list(series), "inner")
+    else:
+        placed = rows.withColumns({c: F.lit(v) for c, v in ends.first().asDict().items()})
+    return placed.groupBy(*series, index.alias("bin")).agg(
+        F.max(lo + (hi - lo) * index / bins).alias("bin_start"), F.count(F.lit(1)).alias("cnt")
     )
 
 

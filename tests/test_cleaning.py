@@ -116,3 +116,33 @@ def test_quality_finds_faults(spark, log):
     assert [r["passed"] for r in quality.check_path(spark, "/tmp/nothing-here").collect()] == [False]
     assert {r["passed"] for r in quality.quality_report(log([]), min_rows=0).where(
         "check not like 'rows%'").collect()} == {True}
+
+
+def test_hot_user_is_split_in_a_join_per_user(spark):
+    """With broadcasts off, adaptive execution cuts the hot user's rows into several tasks."""
+    keys = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        i = F.col("id")
+        rows = spark.range(0, 60_000, 1, 8).select(
+            F.when(i % 3 == 0, 7).otherwise(i % 500).alias("user_id"),
+            i.alias("item_id"),
+            F.lit("pv").alias("behavior_type"),
+            i.alias("timestamp"),
+        )
+        kept = cleaning.keep_valid_users(rows, cleaning.user_balance(rows).where("valid"))
+        checked = kept.agg(F.count(F.lit(1)), F.max(F.xxhash64(*kept.columns)))
+        assert checked.collect()[0][0] == 60_000
+        plan = checked._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

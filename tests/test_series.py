@@ -69,3 +69,5 @@ def test_histogram(spark):
     assert found[("flat", 5)] == (4.0, 5)
     assert found[("range", 9)] == (9.0, 2) and found[("range", 0)] == (0.0, 1)
     assert sum(n for _, n in found.values()) == len(rows)
+    whole = {r["bin"]: r["cnt"] for r in series.histogram(df, [], "v", 10).collect()}
+    assert sum(whole.values()) == len(rows) and whole[9] == 2 and whole[4] == 6
