@@ -13,6 +13,7 @@ from clicktide.sources import readers
 from clicktide.streaming import drift, events, metrics, run, sessions, windows
 
 RATE = 0.1
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state"
 # Event types as stream behaviours; errors come without one.
 STREAM_BEHAVIORS = {"view": "view", "signup": "cart", "purchase": "purchase", "click": "fav"}
 
@@ -297,12 +298,14 @@ def stream_sessions(spark, sf):
     ),
 )
 def stream_session_history(spark, sf):
-    spark.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    )
-    found = sessions.session_history(windows.timed_events(clean_lines(spark, sf)), 21_600)
-    path, _ = run.run_available(found, "history", output_mode="update")
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, f"{ROCKSDB}.RocksDBStateStoreProvider")
+    try:
+        found = sessions.session_history(windows.timed_events(clean_lines(spark, sf)), 21_600)
+        path, _ = run.run_available(found, "history", output_mode="update")
+    finally:
+        spark.conf.set(key, before)
     return run.latest(spark, path, ["user_id", "session_no"]).drop("history")
 
 

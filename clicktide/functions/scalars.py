@@ -90,9 +90,9 @@ def normalize_behavior(c: str | Column) -> Column:
 
 
 def event_seconds(c: str | Column) -> Column:
-    """``yyyy-MM-dd HH:mm:ss.f`` (fraction required, 1-6 digits) to epoch seconds, else null."""
+    """``yyyy-M-d H:m:s.f`` (fraction required, 1-6 digits) to epoch seconds, else null."""
     text = col(c).cast("string")
-    parsed = F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    parsed = F.try_to_timestamp(text, F.lit("yyyy-M-d H:m:s.SSSSSS"))
     return F.when(text.rlike(r"\.\d{1,6}$"), F.unix_seconds(parsed))
 
 
