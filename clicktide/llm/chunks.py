@@ -25,10 +25,10 @@ from clicktide.llm.common import text_batches, whole_text
 from clicktide.operators.ordered import join_per_key
 from clicktide.session import materialize
 
-GEAR_BYTES = 16
+GEAR_BYTES = 8
 REACH = 24
 LONGEST = 256
-MIN_RUN_BYTES = 64
+MIN_RUN_BYTES = 96
 _PIECE = 1 << 20  # bytes of a long text that are hashed at once
 
 
@@ -38,9 +38,9 @@ def gear_table() -> np.ndarray:
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
-    """At each byte the sum of the last 16 bytes' gear numbers, shifted left by their distance.
+    """At each byte the sum of the last ``GEAR_BYTES`` bytes' gear numbers, shifted left by their distance.
 
-    The usual step hash = (hash << 1) + gear[byte], cut to 16 bytes, by doubling the span.
+    The usual step hash = (hash << 1) + gear[byte], cut to ``GEAR_BYTES``, by doubling the span.
     """
     h = gear_table()[data]
     span = 1

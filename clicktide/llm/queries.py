@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicktide.llm import chunks, simhash
+from clicktide.llm import chunks, packing, pieces, quality, simhash, toxicity
 from clicktide.llm.common import table
 from clicktide.session import DEFAULTS, ship_package
 
@@ -22,6 +22,13 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
+def tokenizer_file(name: str) -> str:
+    """Place of a vocabulary file of the public tokenizers, which every machine has installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def register(name: str, sql: str | None = None):
     def add(fn: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,3 +56,34 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every passage that repeats across documents, with its place and first holder."""
     return chunks.repeated_runs(table(spark, sf_dir, "documents"))
+
+
+@register("op5_sentencepiece")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document, as digests."""
+    made = pieces.encode_decode(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+    return made.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@register("op6_packing")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in the packed sequences."""
+    docs = table(spark, sf_dir, "documents")
+    return packing.piece_digests(packing.pack(docs, tokenizer_file("byte_bpe_50k.json")))
+
+
+@register("op8_quality")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
