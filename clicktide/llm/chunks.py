@@ -28,7 +28,7 @@ from clicktide.session import materialize
 GEAR_BYTES = 8
 REACH = 24
 LONGEST = 256
-MIN_RUN_BYTES = 96
+MIN_RUN_BYTES = 128
 _PIECE = 1 << 20  # bytes of a long text that are hashed at once
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicktide.llm import chunks, packing, pieces, quality, simhash, toxicity
+from clicktide.llm import chunks, packing, pieces, quality, simhash, topk, toxicity, vector_graph
 from clicktide.llm.common import table
 from clicktide.session import DEFAULTS, ship_package
 
@@ -87,3 +87,49 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document."""
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register(
+    "op7_exact_top_k",
+    """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+        FROM embeddings
+        WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), s AS (
+        SELECT q.vec_id AS query_id, c.vec_id,
+               list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2]))::BIGINT AS score
+        FROM v q JOIN v c ON q.vec_id <> c.vec_id
+        WHERE q.vec_id % 50 = 0
+    )
+    SELECT query_id, rank::INTEGER AS rank, vec_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+    WHERE rank <= 5
+    """,
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector with all others."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.exact_top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+@register(
+    "op9_embedding_near_dedup",
+    """
+    WITH RECURSIVE v AS (
+        SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
+    ), e AS (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+        WHERE list_cosine_similarity(a.x, b.x) >= 0.9
+    ), reach AS (
+        SELECT vec_id AS a, vec_id AS b FROM v
+        UNION
+        SELECT r.a, e.b FROM reach r JOIN e ON r.b = e.a
+    ), label AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+    SELECT vec_id, count(e.b) AS n_links, component_id, vec_id = component_id AS kept
+    FROM label LEFT JOIN e ON e.a = vec_id GROUP BY vec_id, component_id
+    """,
+)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate links and component of every vector."""
+    return vector_graph.near_duplicates(table(spark, sf_dir, "embeddings"))
