@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clicktide.llm.common import text_batches, whole_text
+from clicktide.llm.common import text_batches, whole_rows, whole_text
 from clicktide.operators.ordered import join_per_key
 from clicktide.session import materialize
 
@@ -217,7 +217,7 @@ def remove_repeats(docs: DataFrame, min_run_bytes: int = MIN_RUN_BYTES) -> DataF
         .select("doc_id")
     )
     spans = materialize(spans.join(ambiguous, "doc_id", "left_anti"), "spans")
-    marked = docs.join(spans, "doc_id", "left")
+    marked = whole_rows(docs).join(spans, "doc_id", "left")
 
     @F.pandas_udf("string")
     def cut(texts, spans):
@@ -225,5 +225,6 @@ def remove_repeats(docs: DataFrame, min_run_bytes: int = MIN_RUN_BYTES) -> DataF
 
         return pd.Series(list(_without_spans(texts, spans)), dtype=object)
 
-    changed = F.when(F.col("_spans").isNotNull(), cut("text", "_spans")).otherwise(F.col("text"))
-    return marked.withColumn("text", changed).select(*docs.columns)
+    text = F.col("_row.text")
+    changed = F.when(F.col("_spans").isNotNull(), cut(text, "_spans")).otherwise(text)
+    return marked.withColumn("_row", F.col("_row").withField("text", changed)).select("_row.*")

@@ -29,6 +29,11 @@ def whole_text(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, _row): rows packed into one column, so that no name of theirs can clash."""
+    return docs.select("doc_id", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """True for rows of the held-out fold; a null id belongs to it, so it never trains a model."""
     fold = F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicktide.llm import chunks, packing, pieces, quality, simhash, topk, toxicity, vector_graph
+from clicktide.llm import (
+    chunks,
+    html_text,
+    packing,
+    pieces,
+    quality,
+    simhash,
+    tool_calls,
+    topk,
+    toxicity,
+    vector_graph,
+)
 from clicktide.llm.common import table
 from clicktide.session import DEFAULTS, ship_package
 
@@ -133,3 +144,59 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate links and component of every vector."""
     return vector_graph.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@register("op2_html_text")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visible text of every page, with its number of characters."""
+    return html_text.extract(table(spark, sf_dir, "pages")).withColumn(
+        "n_chars", F.char_length("text").cast("bigint")
+    )
+
+
+@register(
+    "op4_tool_calls",
+    """
+    WITH RECURSIVE calls AS (
+        SELECT *, 'call_' || conv_id || '_' || turn AS call_id, coalesce(role = 'user', false) AS asks
+        FROM conversations WHERE coalesce(role <> 'assistant', true)
+    ), results AS (
+        SELECT *, 'call_' || conv_id || '_' || (turn - 1) AS call_id
+        FROM conversations WHERE role = 'assistant'
+    ), levels AS (
+        SELECT conv_id, turn, call_id, 0 AS level FROM calls c
+        WHERE NOT EXISTS (FROM calls p WHERE p.conv_id = c.conv_id AND p.turn = c.turn - 2)
+        UNION ALL
+        SELECT c.conv_id, c.turn, c.call_id, l.level + 1
+        FROM levels l JOIN calls c ON c.conv_id = l.conv_id AND c.turn = l.turn + 2
+    )
+    SELECT c.conv_id, l.level, false AS is_result, c.turn, c.call_id,
+           CASE WHEN EXISTS (FROM results r WHERE r.call_id = c.call_id)
+                THEN 'answered' ELSE 'unanswered' END AS status,
+           CASE WHEN text IS NULL THEN 'type of prompt'
+                WHEN length(text) < 1 THEN 'minLength of prompt'
+                WHEN asks AND length(text) > 600 THEN 'maxLength of prompt' ELSE '' END AS problems,
+           '{"arguments":{' ||
+           CASE WHEN asks THEN '"conversation":' || c.conv_id || ',' ELSE '' END
+           || '"prompt":' || coalesce(to_json(text)::VARCHAR, 'null') ||
+           CASE WHEN asks THEN ',"turn":' || c.turn ELSE '' END
+           || '},"id":"' || c.call_id || '","parent":' ||
+           CASE WHEN c.turn > 1 THEN '"call_' || c.conv_id || '_' || (c.turn - 2) || '"' ELSE 'null' END
+           || ',"tool":"' || CASE WHEN asks THEN 'answer' ELSE 'configure' END || '"}' AS json
+    FROM calls c JOIN levels l USING (call_id)
+    UNION ALL
+    SELECT r.conv_id, l.level, true, r.turn, r.call_id,
+           CASE WHEN l.call_id IS NULL THEN 'orphan' ELSE 'linked' END, '',
+           '{"content":' || coalesce(to_json(text)::VARCHAR, 'null') || ',"id":"' || r.call_id || '"}'
+    FROM results r LEFT JOIN levels l USING (call_id)
+    """,
+)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of every conversation as linked tool calls and results, in canonical JSON."""
+    conversations = table(spark, sf_dir, "conversations")
+    linked = tool_calls.link(
+        tool_calls.calls_of_conversations(conversations),
+        tool_calls.results_of_conversations(conversations),
+        tool_calls.SCHEMAS,
+    )
+    return linked.withColumn("problems", F.concat_ws("; ", "problems"))

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clicktide.llm.common import text_batches, whole_text
+from clicktide.llm.common import text_batches, whole_rows, whole_text
 from clicktide.llm.components import connected_components
 from clicktide.operators.ordered import join_per_key
 from clicktide.session import materialize
@@ -262,8 +262,7 @@ def representatives(docs: DataFrame) -> DataFrame:
         .select("doc_id", F.col("leads").alias("_leads"))
     )
     # Written first, so that Spark knows its size and broadcasts it only if it is small.
-    marked = docs.join(materialize(per_id, "decisions"), "doc_id", "left")
-    columns = docs.columns
-    once = marked.where("_leads IS NULL").select(*columns)
-    repeated = marked.where("_leads").select(*columns).dropDuplicates()
+    marked = whole_rows(docs).join(materialize(per_id, "decisions"), "doc_id", "left")
+    once = marked.where("_leads IS NULL").select("_row.*")
+    repeated = marked.where("_leads").select("_row.*").dropDuplicates()
     return once.unionByName(repeated)
