@@ -1,9 +1,8 @@
 import numpy as np
 import xxhash
-from conftest import SF
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from llm_data import prose
+from llm_data import SF, make_docs, prose  # noqa: F401
 
 from clicktide.llm import queries, simhash
 from clicktide.llm.components import connected_components
