@@ -168,7 +168,7 @@ def _searcher(k: int, seed: dict[int, tuple[np.ndarray, np.ndarray]]):
     """Searches joined rows of (block, shard); rows of one block follow each other."""
 
     def results(best: Best) -> pa.RecordBatch:
-        found = best.ids != _LONG
+        found = best.scores > -np.inf
         scores = [max(-_LONG - 1, min(_LONG, int(s))) for s in best.scores[found]]
         query = np.broadcast_to(best.query_ids[:, None], best.ids.shape)[found]
         return pa.RecordBatch.from_arrays(

@@ -42,6 +42,7 @@ BEGINNINGS = (3, 4, 5, 6, 7)  # bytes; below 9, so that no word begins like a ma
 LONGEST_WORD = 64  # longer words give beginnings only
 THRESHOLD = 0.5
 STEPS, RATE, WEIGHT_DECAY = 250, 0.05, 1e-4
+SAMPLE_PARTITIONS = 16  # of the bounded sample, which may come from any number of splits
 _SEED = 7
 _SPACED = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
@@ -160,7 +161,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     sample = materialize(
         docs.select(F.col("doc_id").cast("bigint"), whole_text().alias("_text")).join(
             F.broadcast(picked), "doc_id"
-        ),
+        ).repartition(SAMPLE_PARTITIONS),
         "toxicity-sample",
     )
     sizes = {r["positive"]: r["n"] for r in sample.groupBy("positive").agg(F.count("*").alias("n")).collect()}
