@@ -831,11 +831,25 @@ def glob_counts(spark, sf):
     return every.agg(F.count(F.lit(1)).alias("cnt"), F.sum("item_id").alias("items"))
 
 
-@register("storage_report")
+@register(
+    "storage_report",
+    """SELECT l_returnflag, true AS has_files, true AS has_size, true AS adds_up, l_returnflag = 'TOTAL' AS has_saving
+       FROM (SELECT DISTINCT l_returnflag FROM lineitem UNION ALL SELECT 'TOTAL')""",
+)
 def storage_report(spark, sf):
+    """Every value's files and size are there, and the total is their sum."""
     root = scratch(spark, "stored")
     writers.write_partitioned(A.table(spark, sf, "lineitem"), root, "l_returnflag")
-    return writers.storage_report(spark, root, "l_returnflag", original_mb=1024.0)
+    report = writers.storage_report(spark, root, "l_returnflag", original_mb=1024.0)
+    single = report.where("l_returnflag <> 'TOTAL'").agg(F.sum("files"), F.sum("mb")).first()
+    sums = (F.col("files") == single[0]) & (F.abs(F.col("mb") - single[1]) < 1e-9)
+    return report.select(
+        "l_returnflag",
+        (F.col("files") > 0).alias("has_files"),
+        (F.col("mb") > 0).alias("has_size"),
+        (sums | (F.col("l_returnflag") != "TOTAL")).alias("adds_up"),
+        F.col("saving_pct").isNotNull().alias("has_saving"),
+    )
 
 
 # -- data quality ------------------------------------------------------------------------

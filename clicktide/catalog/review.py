@@ -52,13 +52,16 @@ def category_distribution_positive(spark, sf):
     "sentiment_pivot",
     with_(
         REVIEWS,
-        """SELECT cat AS category, count(*) FILTER (sentiment = '正面') AS 正面,
-                  count(*) FILTER (sentiment = '负面') AS 负面, CAST(0 AS BIGINT) AS 中性
-           FROM reviews WHERE sentiment IS NOT NULL GROUP BY cat""",
+        """SELECT cat AS category, count(*) FILTER (s = '正面') AS 正面, count(*) FILTER (s = '负面') AS 负面,
+                  CAST(0 AS BIGINT) AS 中性, count(*) FILTER (s = '解析失败') AS 解析失败
+           FROM (SELECT cat, CASE WHEN doc_id % 9 = 0 THEN '解析失败' ELSE sentiment END AS s FROM reviews)
+           WHERE s IS NOT NULL GROUP BY cat""",
     ),
 )
 def sentiment_pivot(spark, sf):
-    return reviews.sentiment_pivot(labelled(spark, sf))
+    """Some reviews carry the mark of an unusable reply as their sentiment."""
+    marked = F.when(F.col("doc_id") % 9 == 0, extraction.FALLBACK).otherwise(F.col("sentiment"))
+    return reviews.sentiment_pivot(labelled(spark, sf).withColumn("sentiment", marked))
 
 
 @register(

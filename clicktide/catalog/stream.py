@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from clicktide.catalog import register
 from clicktide.catalog.shared_sql import EVENTS, with_
 from clicktide.functions import scalars as S
+from clicktide.plans.scoring import start_scoring
 from clicktide.session import scratch
 from clicktide.sources import adapters as A
 from clicktide.sources import readers
 from clicktide.streaming import drift, events, metrics, run, sessions, windows
 
 RATE = 0.1
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state"
 # Event types as stream behaviours; errors come without one.
 STREAM_BEHAVIORS = {"view": "view", "signup": "cart", "purchase": "purchase", "click": "fav"}
 
@@ -41,6 +41,20 @@ def clean_lines(spark, sf):
     return line_stream(spark, events.inject_faults(stream_events(spark, sf), "event_id", 0.0).select("value"))
 
 
+def odd_times(spark, sf):
+    """Lines whose time has three or six digits of fraction, or stands in ``timestamp``."""
+    e = stream_events(spark, sf)
+    kind = F.col("event_id") % 3
+    millis = F.col("event_time")
+    timed = e.withColumns(
+        {
+            "timestamp": F.when(kind == 1, F.unix_seconds(F.try_to_timestamp(millis, F.lit(windows.TIME_FORMAT)))),
+            "event_time": F.when(kind == 0, F.concat(millis, F.lit("000"))).when(kind == 2, millis),
+        }
+    )
+    return timed.select(F.to_json(F.struct(*[c for c in timed.columns if c != "event_id"])).alias("value"))
+
+
 def faulty_lines(spark, sf):
     return line_stream(spark, events.inject_faults(stream_events(spark, sf), "event_id", RATE).select("value"))
 
@@ -218,9 +232,8 @@ def pipeline_metrics(spark, sf):
     ),
 )
 def progress_metrics(spark, sf):
-    stream = metrics.observed(events.score_and_route(faulty_lines(spark, sf)))
-    _, query = run.run_available(stream, "observed", by=["route"])
-    per_batch = metrics.progress_metrics(spark, query)
+    path, query = run.run_available(events.score_and_route(faulty_lines(spark, sf)), "observed", by=["route"])
+    per_batch = metrics.progress_metrics(spark, query, path)
     counters = ("produced", "consumed", "dead_lettered", "fallback_predictions")
     return per_batch.agg(*[F.sum(c).alias(c) for c in counters])
 
@@ -248,11 +261,54 @@ _STREAM = (
     ),
 )
 def window_counts(spark, sf):
-    counts = windows.window_counts(windows.timed_events(clean_lines(spark, sf)))
+    counts = windows.window_counts(windows.timed_events(line_stream(spark, odd_times(spark, sf))))
     path, _ = run.run_available(counts, "windows", output_mode="update")
     return run.latest(spark, path, ["window_start"])
 
 
+@register(
+    "untimed_events",
+    with_(
+        _FAULTY,
+        """SELECT coalesce(kind = 2 OR kind = 0 AND fld = 2, false) = false AS timed, count(*) AS cnt
+           FROM r WHERE kind IS DISTINCT FROM 3 GROUP BY 1""",
+    ),
+)
+def untimed_events(spark, sf):
+    counts = windows.untimed(windows.timed_events(faulty_lines(spark, sf)))
+    path, _ = run.run_available(counts, "untimed", output_mode="complete")
+    return run.last_batch(spark, path)
+
+
+@register(
+    "bounded_batches",
+    with_(
+        _FAULTY,
+        """SELECT CASE WHEN error IS NULL THEN 'scored' ELSE 'dead' END AS route,
+                  coalesce(error, 'RULE_FALLBACK') AS error, count(*) AS cnt,
+                  true AS several_batches FROM r GROUP BY 1, 2""",
+    ),
+)
+def bounded_batches(spark, sf):
+    """Several files, one per batch while the load is high, on a timer; the rows of one batch."""
+    lines = events.inject_faults(stream_events(spark, sf), "event_id", RATE).select("value")
+    source = scratch(spark, "lines")
+    lines.repartition(4).write.text(source)
+    samples = spark.range(3).select(F.col("id").alias("at"), F.lit(0.9).alias("load_pct"))
+    out = scratch(spark, "bounded")
+    query = start_scoring(
+        spark, source, out, scratch(spark, "bounded-state"), files_per_batch=3,
+        processing_time="100 milliseconds", load_samples=samples,
+    )
+    query.processAllAvailable()
+    query.stop()
+    found = run.read_batches(spark, out)
+    several = found.select("batch_id").distinct().count() > 1
+    return found.groupBy("route", "error").agg(
+        F.count(F.lit(1)).alias("cnt"), F.lit(several).alias("several_batches")
+    )
+
+
 @register(
     "running_totals",
     with_(
@@ -283,9 +339,7 @@ n AS (SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY rn ROWS UNBOUNDED P
     ),
 )
 def stream_sessions(spark, sf):
-    found = sessions.stream_sessions(windows.timed_events(clean_lines(spark, sf)), 21_600)
-    path, _ = run.run_available(found, "sessions", output_mode="complete")
-    return run.last_batch(spark, path)
+    return flushed(spark, sf, "sessions", lambda e: sessions.stream_sessions(e, 21_600))
 
 
 @register(
@@ -293,20 +347,33 @@ def stream_sessions(spark, sf):
     with_(
         _STREAM,
         _SESSIONS.format(ms=21_600_000)
-        + """SELECT user_id, CAST(session_no AS BIGINT) AS session_no, min(ms) AS start_ms, max(ms) AS end_ms,
-                    count(*) AS events FROM n GROUP BY user_id, session_no""",
+        + """, p AS (SELECT *, row_number() OVER (PARTITION BY user_id, session_no ORDER BY ms DESC, behavior_type DESC)
+               AS back FROM n)
+             SELECT user_id, CAST(session_no AS BIGINT) AS session_no, min(ms) AS start_ms, max(ms) AS end_ms,
+                    count(*) AS events,
+                    string_agg(CASE WHEN back <= 10 THEN ms || ':' || behavior_type END, ' '
+                               ORDER BY ms, behavior_type) AS history
+             FROM p GROUP BY user_id, session_no""",
     ),
 )
 def stream_session_history(spark, sf):
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key)
-    spark.conf.set(key, f"{ROCKSDB}.RocksDBStateStoreProvider")
-    try:
-        found = sessions.session_history(windows.timed_events(clean_lines(spark, sf)), 21_600)
-        path, _ = run.run_available(found, "history", output_mode="update")
-    finally:
-        spark.conf.set(key, before)
-    return run.latest(spark, path, ["user_id", "session_no"]).drop("history")
+    found = sessions.numbered(flushed(spark, sf, "history", lambda e: sessions.session_history(e, 21_600)))
+    text = F.transform("history", lambda h: F.concat(h["ms"].cast("string"), F.lit(":"), h["behavior"]))
+    return found.withColumn("history", F.array_join(text, " "))
+
+
+def flushed(spark, sf, name, plan):
+    """Sessions in append mode. When all events are in, a line without a user, far ahead in time,
+    moves the watermark past the open sessions; the query goes on from its checkpoint."""
+    lines = scratch(spark, "lines")
+    events.inject_faults(stream_events(spark, sf), "event_id", 0.0).select("value").write.text(lines)
+    out, state = scratch(spark, name), scratch(spark, f"{name}-state")
+    for extra in (None, '{"event_time": "2100-01-01 00:00:00.000"}'):
+        if extra:
+            spark.range(1).select(F.lit(extra).alias("value")).write.mode("append").text(lines)
+        stream = plan(windows.timed_events(readers.read_event_stream(spark, lines)))
+        run.start(stream, out, state).awaitTermination()
+    return run.read_batches(spark, out).drop("batch_id")
 
 
 @register(

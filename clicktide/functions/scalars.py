@@ -96,6 +96,15 @@ def event_seconds(c: str | Column) -> Column:
     return F.when(text.rlike(r"\.\d{1,6}$"), F.unix_seconds(parsed))
 
 
+def stamp_or_time(stamp: str | Column, time: str | Column) -> Column:
+    """Epoch seconds if given and not empty, else ``yyyy-M-d H:m:s.f``, as a timestamp with its
+    fraction; null where that cannot be read."""
+    text = col(time).cast("string")
+    parsed = F.when(text.rlike(r"\.\d{1,6}$"), F.try_to_timestamp(text, F.lit("yyyy-M-d H:m:s.SSSSSS")))
+    given = col(stamp).isNotNull() & (col(stamp) != "")
+    return F.when(given, F.timestamp_seconds(safe_int(stamp))).otherwise(parsed)
+
+
 def mixed_time(c: str | Column) -> Column:
     """Text holding either an ISO-8601 time or epoch seconds."""
     text = F.trim(col(c).cast("string"))

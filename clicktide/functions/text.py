@@ -29,7 +29,7 @@ STOPWORDS = frozenset(
 )
 
 # A token of only these characters is punctuation.
-PUNCTUATION = "，。！？、；：\"'（）【】 "
+PUNCTUATION = "，。！？、；：'（）【】 "
 
 _CJK = r"㐀-䶿一-鿿"
 

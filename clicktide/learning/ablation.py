@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from clicktide.functions.scalars import ratio
 from clicktide.learning.evaluate import accuracy, scores_of
 from clicktide.learning.features import ordinal_encode
-from clicktide.learning.tfidf import CharTfidf, fit_char_tfidf, fuse
+from clicktide.learning.tfidf import CharTfidf, entries, fit_char_tfidf, fuse
 from clicktide.operators.cleaning import fill_unknown
 from clicktide.operators.sampling import hash_rank, stratified_split
 from clicktide.session import materialize, shared_dir
@@ -91,11 +91,16 @@ def linear_attributions(
         for i, (name, w, m) in enumerate(zip(names, model.coefficients, means))
     ]
     weights = spark.createDataFrame(table, "i int, feature string, part string, w double, m double")
-    entries = test.select(F.posexplode(vector_to_array("features")).alias("i", "x"))
-    return (
-        entries.join(F.broadcast(weights), "i")
-        .groupBy("feature", "part")
-        .agg(F.avg(F.abs(F.col("w") * (F.col("x") - F.col("m")))).alias("mean_abs_attribution"))
+    n = test.count()
+    w, x, m = F.col("w"), F.col("_x"), F.col("m")
+    # Only non-zero entries are taken out; a zero adds abs(w * m).
+    found = entries(test.select("features"), "features").withColumnRenamed("_i", "i")
+    seen = found.join(F.broadcast(weights), "i").groupBy("i").agg(
+        F.sum(F.abs(w * (x - m))).alias("_seen"), F.count(F.lit(1)).alias("_nnz")
+    )
+    zeros = (n - F.coalesce("_nnz", F.lit(0))) * F.abs(w * m)
+    return weights.join(seen, "i", "left").select(
+        "feature", "part", ((F.coalesce("_seen", F.lit(0.0)) + zeros) / n).alias("mean_abs_attribution")
     )
 
 

@@ -31,16 +31,15 @@ def balanced_weights(df: DataFrame, label: str = "label") -> tuple[DataFrame, in
 def scaling_stage(df: DataFrame) -> SQLTransformer:
     """Median imputation and standardising as one SQL stage with the fitted figures.
 
-    Spark's own scaler divides by the sample deviation; this one uses the population's.
+    Spark's own scaler divides by the sample deviation; this one uses the population's. A null
+    becomes the training median, whether training met a null in that column or not.
     """
-    # The features hold no nulls where the log was cleaned first; then no median is needed.
-    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in NUMERIC]).first()
-    middle = medians(df, [c for c in NUMERIC if nulls[c]])
+    middle = medians(df, NUMERIC)
     filled = df.withColumns({c: F.coalesce(F.col(c), F.lit(m)) for c, m in middle.items() if m is not None})
     terms = []
     for c, (mean, std) in scale_figures(filled, NUMERIC).items():
-        fallback = middle.get(c)
-        default = mean if fallback is None else fallback
+        # Without any value in training there is no median.
+        default = mean if middle[c] is None else middle[c]
         terms.append(f"(coalesce(cast({c} as double), {default!r}D) - {mean!r}D) / {std!r}D AS z_{c}")
     return SQLTransformer(statement=f"SELECT *, {', '.join(terms)} FROM __THIS__")
 

@@ -6,9 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicktide.functions.scalars import ratio
-from clicktide.operators.ordered import prefix_sum
-
-_STEPS = 2.0**53  # spacing of doubles just below one
+from clicktide.operators.ordered import running_total
 
 
 def accuracy(scores: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -18,17 +16,19 @@ def accuracy(scores: DataFrame, label: str = "label", prediction: str = "predict
 
 
 def roc_auc(scores: DataFrame, label: str = "label", probability: str = "probability") -> DataFrame:
-    """Exact rank-sum AUC of probabilities in [0, 1]; equal scores count half.
+    """Exact rank-sum AUC of scores of any size; equal scores count half.
 
-    Rows are merged by score before any ranking, and negatives below each score come from a
-    blocked prefix sum, so nothing is sorted in one task.
+    Rows are merged by score before any ranking, and the distinct scores are ranked by range, so
+    nothing is sorted in one task. A score or label that is null, or no number, is an error.
     """
-    positive = F.col(label).cast("int") == 1
-    by_score = scores.groupBy(F.round(F.col(probability) * _STEPS).cast("bigint").alias("_score")).agg(
+    score, positive = F.col(probability).cast("double"), F.col(label).cast("int") == 1
+    unusable = score.isNull() | F.isnan(score) | positive.isNull()
+    checked = F.when(unusable, F.raise_error(F.lit("a score or label is missing")).cast("double"))
+    by_score = scores.groupBy(checked.otherwise(score).alias("_score")).agg(
         F.count_if(positive).alias("_pos"), F.count_if(~positive).alias("_neg")
     )
-    ranked = prefix_sum(by_score, "_score", "_neg", "_below")
-    wins = F.col("_pos") * (F.col("_below") + F.col("_neg") / 2.0)
+    ranked = running_total(by_score, [], ["_score"], "_neg", "_upto")
+    wins = F.col("_pos") * (F.col("_upto") - F.col("_neg") / 2.0)
     sums = ranked.agg(
         F.sum(wins).alias("wins"), F.sum("_pos").alias("pos"), F.sum("_neg").alias("neg")
     )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicktide.functions import scalars as S
-from clicktide.operators.ordered import exact_median, null_safe_join, running_position
+from clicktide.operators.ordered import exact_medians, null_safe_join, running_position
 
 # The model's inputs.
 NUMERIC = ("user_id", "item_id", "category_id", "hour", "dayofweek", "is_weekend")
@@ -38,7 +38,7 @@ def buy_features(log: DataFrame, *keep: str, with_label: bool = True) -> DataFra
 
 
 def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
-    return {c: exact_median(df, c) for c in columns}
+    return exact_medians(df, columns)
 
 
 def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:

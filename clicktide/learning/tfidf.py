@@ -7,9 +7,11 @@ a chain of Spark ML transformers on each row, without any shuffle.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
     CountVectorizerModel,
@@ -17,16 +19,34 @@ from pyspark.ml.feature import (
     Normalizer,
     VectorAssembler,
 )
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def tidy_text(text: Column) -> Column:
+    """Lower-cased text; a run of two or more white spaces counts as one space."""
+    return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"(?U)\s\s+", " ")
+
+
 def characters(text: Column) -> Column:
-    """Lower-cased characters; a run of two or more white spaces counts as one space."""
-    tidy = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"(?U)\s\s+", " ")
-    return F.array_remove(F.split(tidy, ""), "")
+    return F.array_remove(F.split(tidy_text(text), ""), "")
+
+
+def _count_characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Uses and documents of every character of a task, and its number of documents."""
+    uses, documents, n = Counter(), Counter(), 0
+    for batch in batches:
+        for text in batch.column("text").to_pylist():
+            uses.update(text)
+            documents.update(set(text))
+            n += 1
+    if n:
+        rows = [(c, k, documents[c]) for c, k in uses.items()] + [(None, 0, n)]
+        columns = [pa.array(x) for x in zip(*rows)]
+        kinds = (pa.string(), pa.int64(), pa.int64())
+        arrays = [c.cast(k) for c, k in zip(columns, kinds)]
+        yield pa.RecordBatch.from_arrays(arrays, ["c", "tf", "df"])
 
 
 @dataclass
@@ -50,32 +70,23 @@ class CharTfidf:
 
 
 def fit_char_tfidf(df: DataFrame, column: str, max_features: int = 500) -> CharTfidf:
-    """The ``max_features`` most frequent characters; idf = ln((1 + n) / (1 + df)) + 1."""
-    mark = "\0"
-    once = F.transform(F.array_distinct("chars"), lambda c: F.concat(F.lit(mark), c))
-    # One pass counts all three: characters as they are, once per document with a mark in
-    # front, and documents by the mark alone.
+    """The ``max_features`` most frequent characters; idf = ln((1 + n) / (1 + df)) + 1.
+
+    Characters are counted task by task; a task gives one row for each of its characters, and one
+    without a character for its number of documents.
+    """
     counted = (
-        df.select(characters(F.col(column)).alias("chars"))
-        .select(F.explode(F.concat("chars", once, F.array(F.lit(mark)))).alias("token"))
-        .groupBy("token")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    marked = F.startswith("token", F.lit(mark))
-    totals = (
-        counted.groupBy(F.when(marked, F.substring("token", 2, 8)).otherwise(F.col("token")).alias("c"))
-        .agg(
-            F.coalesce(F.sum(F.when(~marked, F.col("n"))), F.lit(0)).alias("tf"),
-            F.coalesce(F.sum(F.when(marked, F.col("n"))), F.lit(0)).alias("df"),
-        )
-        .orderBy(F.col("c") != "", F.desc("tf"), "c")
-        .limit(max_features + 1)
-        .collect()
+        df.select(tidy_text(F.col(column)).alias("text"))
+        .mapInArrow(_count_characters, "c string, tf bigint, df bigint")
+        .groupBy("c")
+        .agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
     )
-    if not totals:
+    documents = counted.where(F.col("c").isNull()).first()
+    if documents is None:
         return CharTfidf([], [])
-    n = totals[0]["df"]
-    kept = sorted(totals[1:], key=lambda r: r["c"])
+    n = documents["df"]
+    top = counted.where(F.col("c").isNotNull()).orderBy(F.desc("tf"), "c").limit(max_features)
+    kept = sorted(top.collect(), key=lambda r: r["c"])
     return CharTfidf(
         [r["c"] for r in kept], [math.log((1 + n) / (1 + r["df"])) + 1 for r in kept]
     )
@@ -84,12 +95,20 @@ def fit_char_tfidf(df: DataFrame, column: str, max_features: int = 500) -> CharT
 def weights(df: DataFrame, key: str, vector: str, names: Sequence[str]) -> DataFrame:
     """Non-zero entries of a vector column as rows (key, feature, weight)."""
     named = F.array(*[F.lit(n) for n in names])
-    entries = df.select(key, F.posexplode(vector_to_array(vector)).alias("_i", "weight"))
-    return entries.where(F.col("weight") != 0).select(
-        key, F.get(named, F.col("_i")).alias("feature"), "weight"
+    return entries(df.select(key, vector), vector).select(
+        key, F.get(named, F.col("_i")).alias("feature"), F.col("_x").alias("weight")
     )
 
 
+def entries(df: DataFrame, vector: str) -> DataFrame:
+    """The other columns with ``_i`` and ``_x`` of each non-zero entry; sparse vectors stay sparse."""
+    v = F.unwrap_udt(F.col(vector))
+    places = F.coalesce(v["indices"], F.sequence(F.lit(0), F.size(v["values"]) - 1))
+    pairs = F.arrays_zip(places.alias("i"), v["values"].alias("x"))
+    rest = [c for c in df.columns if c != vector]
+    return df.select(*rest, F.inline(pairs).alias("_i", "_x")).where(F.col("_x") != 0)
+
+
 def fuse(df: DataFrame, sparse: str, dense: Sequence[str], width: int, out: str = "features") -> DataFrame:
     """Sparse vector and dense columns in one vector of checked ``width``."""
     fused = VectorAssembler(inputCols=[sparse, *dense], outputCol=out).transform(df)

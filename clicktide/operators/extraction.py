@@ -65,23 +65,36 @@ def ask(
     attempts: int = 10,
     wait: tuple[float, float] = (2.0, 60.0),
     retryable: tuple[type[BaseException], ...] = (RetryableError,),
+    error: str = "error",
+    on_error: str = "mark",
 ) -> DataFrame:
-    """Add the extractor's raw reply.
+    """Add the extractor's raw reply, and ``error`` with what the last attempt raised.
 
     Calls overlap inside a task, at most ``concurrency`` at a time, and tasks run on all
-    partitions; rows stream through in Arrow batches. The reply joins its row in place.
+    partitions; rows stream through in Arrow batches. The reply joins its row in place. A call
+    that fails in the end leaves a null reply and its error, so that one bad text does not make
+    Spark pay for all calls of the task again; ``on_error="raise"`` ends the job instead.
     """
-    schema = T.StructType([*df.schema.fields, T.StructField(out, T.StringType())])
+    if on_error not in ("mark", "raise"):
+        raise ValueError("on_error is mark or raise")
+    added = [T.StructField(c, T.StringType()) for c in (out, error)]
+    schema = T.StructType([*df.schema.fields, *added])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def one(text):
             if text is None:
-                return None
-            return call_with_retry(extractor, text, attempts, wait, retryable)
+                return None, None
+            try:
+                return call_with_retry(extractor, text, attempts, wait, retryable), None
+            except Exception as failure:  # noqa: BLE001 - extractors raise what they like
+                if on_error == "raise":
+                    raise
+                return None, f"{type(failure).__name__}: {failure}"
 
         with ThreadPoolExecutor(concurrency) as pool:
             for batch in batches:
-                yield batch.assign(**{out: list(pool.map(one, batch[column]))})
+                answers = list(pool.map(one, batch[column]))
+                yield batch.assign(**{out: [a[0] for a in answers], error: [a[1] for a in answers]})
 
     return df.mapInPandas(run, schema)
 
@@ -104,10 +117,15 @@ def extract_features(
     whole_fallback: bool = False,
     **options,
 ) -> DataFrame:
-    """Add ``sentiment``, ``category`` and ``summary`` to each row."""
-    replies = ask(df, column, extractor, "_reply", **options)
-    parsed = replies.withColumn("_f", parse_reply(F.col("_reply"), whole_fallback))
-    return parsed.select(*df.columns, "_f.sentiment", "_f.category", "_f.summary")
+    """Add ``sentiment``, ``category``, ``summary`` and ``error`` to each row.
+
+    A row whose call failed has the fallback mark in all three and the error.
+    """
+    replies = ask(df, column, extractor, "_reply", error="_error", **options)
+    parsed = F.when(F.col("_error").isNotNull(), F.struct(*[F.lit(FALLBACK).alias(c) for c in FEATURES.names]))
+    parsed = parsed.otherwise(parse_reply(F.col("_reply"), whole_fallback))
+    features = [F.col(f"_f.{c}") for c in FEATURES.names]
+    return replies.withColumn("_f", parsed).select(*df.columns, *features, F.col("_error").alias("error"))
 
 
 def extraction_summary(df: DataFrame) -> DataFrame:

@@ -38,14 +38,19 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def join_per_key(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+def join_per_key(
+    rows: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str, null_safe: bool = False
+) -> DataFrame:
     """Join rows with a table aggregated by the same keys, of which one may be very hot.
 
     Such a table already lies partitioned by the keys. Spark would leave it there, and then
     adaptive execution cannot split the hot key's rows, for it splits a join only where both
     sides were shuffled for it. A hash of the keys as one more key asks for that shuffle.
-    Where the table measures small it is broadcast anyway.
+    Where the table measures small it is broadcast anyway. With ``null_safe`` null keys meet.
     """
+    if null_safe:
+        hashed = (x.withColumn("__hash", F.xxhash64(*keys)) for x in (rows, per_key))
+        return null_safe_join(*hashed, [*keys, "__hash"], how).drop("__hash")
     joined = rows.withColumn("__hash", F.xxhash64(*keys)).join(
         per_key.withColumn("__hash", F.xxhash64(*keys)), [*keys, "__hash"], how
     )
@@ -155,24 +160,37 @@ def running_total(
     )
 
 
-def exact_median(df: DataFrame, col: str) -> float | None:
-    """The mean of the two middle non-null values of ``col``.
+def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
+    """Per column the mean of its two middle non-null values; None without any.
 
-    Equal values are counted first and the distinct ones are ranked by range, so no task
-    ever holds all of them; only two numbers reach the driver.
+    All columns go in one pass, as series of (column, value). Equal values are counted first and
+    the distinct ones are ranked by range, so no task ever holds all of them; two numbers per
+    column reach the driver.
     """
+    cells = [F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_v")) for c in columns]
     values = (
-        df.where(F.col(col).isNotNull())
-        .groupBy(F.col(col).alias("_v"))
+        df.select(F.inline(F.array(*cells)))
+        .where(F.col("_v").isNotNull())
+        .groupBy("_c", "_v")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    ranked = materialize(running_total(values, [], ["_v"], "_n", "_upto"), "ranks")
-    size = ranked.agg(F.max("_upto")).first()[0]
-    if not size:
-        return None
-    lower, upper = (size + 1) // 2, size // 2 + 1
-    middle = ranked.agg(
-        F.min(F.when(F.col("_upto") >= lower, F.col("_v"))).alias("lo"),
-        F.min(F.when(F.col("_upto") >= upper, F.col("_v"))).alias("hi"),
-    ).first()
-    return (float(middle["lo"]) + float(middle["hi"])) / 2
+    ranked = materialize(running_total(values, ["_c"], ["_v"], "_n", "_upto"), "ranks")
+    sizes = ranked.groupBy("_c").agg(F.max("_upto").alias("_size"))
+    upto, size = F.col("_upto"), F.col("_size")
+    lower, upper = F.floor((size + 1) / 2), F.floor(size / 2) + 1
+    middle = (
+        ranked.join(F.broadcast(sizes), "_c")  # one row per column
+        .groupBy("_c")
+        .agg(
+            F.min(F.when(upto >= lower, F.col("_v"))).alias("lo"),
+            F.min(F.when(upto >= upper, F.col("_v"))).alias("hi"),
+        )
+        .collect()
+    )
+    found = {r["_c"]: (r["lo"] + r["hi"]) / 2 for r in middle}
+    return {c: found.get(c) for c in columns}
+
+
+def exact_median(df: DataFrame, col: str) -> float | None:
+    """The mean of the two middle non-null values of ``col``."""
+    return exact_medians(df, [col])[col]

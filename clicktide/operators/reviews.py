@@ -76,11 +76,14 @@ def sentiment_pivot(
 ) -> DataFrame:
     """Reviews per category and sentiment, 0 where there are none.
 
-    The sentiment values are given, so Spark need not run a query to find them.
+    Every sentiment found gets a column, after those of ``values``, which are always there. A
+    pivot has one column per value, so the other values are as few as its columns.
     """
     picked = optional_filters(df, cat=cat, query=query).where(F.col("sentiment").isNotNull())
-    counts = picked.groupBy(F.col("cat").alias("category")).pivot("sentiment", list(values))
-    return counts.agg(F.count(F.lit(1))).fillna(0, subset=list(values))
+    others = picked.where(~F.col("sentiment").isin(*values)).select("sentiment").distinct()
+    names = [*values, *sorted(r[0] for r in others.collect())]
+    counts = picked.groupBy(F.col("cat").alias("category")).pivot("sentiment", names)
+    return counts.agg(F.count(F.lit(1))).fillna(0, subset=names)
 
 
 def review_page(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clicktide.functions.scalars import hash_key
 from clicktide.operators.ordered import block_of, prefix_sum
+from clicktide.session import materialize
 
 _BUCKET_HEX = 5  # 16**5 buckets: an offset table of at most 1,048,576 rows per class
 
@@ -56,7 +57,13 @@ def slice_rows(df: DataFrame, key: str, start: int, stop: int) -> DataFrame:
     However long the slice, rows are numbered inside their block of at most 65,536 keys.
     """
     needed = blocks_of_range(df, key, start, stop).where("_needed").select("_block", "_start")
-    rows = df.withColumn("_block", block_of(key)).join(needed, "_block")
+    needed = materialize(needed, "needed")
+    ends = needed.agg(F.min("_block"), F.max("_block")).first()
+    if ends[0] is None:
+        return df.limit(0).withColumn("position", F.lit(0).cast("bigint"))
+    # A range of keys that the scan can prune on.
+    in_range = F.col(key).between(ends[0] << 16, ((ends[1] + 1) << 16) - 1)
+    rows = df.where(in_range).withColumn("_block", block_of(key)).join(needed, "_block")
     inside = Window.partitionBy("_block").orderBy(key)
     position = F.col("_start") + F.row_number().over(inside) - 1
     return (
@@ -68,18 +75,31 @@ def slice_rows(df: DataFrame, key: str, start: int, stop: int) -> DataFrame:
 
 
 def hash_rank(
-    df: DataFrame, id_col: str, seed: int | str = 42, group: Sequence[str] = (), out: str = "rank"
+    df: DataFrame,
+    id_col: str,
+    seed: int | str = 42,
+    group: Sequence[str] = (),
+    out: str = "rank",
+    first: int | None = None,
 ) -> DataFrame:
-    """1-based rank of each row in the order of md5(id, seed), per group.
+    """1-based rank of each row in the order of md5(id, seed), per group; nulls are a group too.
 
     The hash spreads rows evenly over about a million buckets whatever the data. Buckets are
-    counted and their starts summed up; the ranking itself happens inside a bucket.
+    counted and their starts summed up; the ranking itself happens inside a bucket. With
+    ``first`` only rows in buckets that begin before that rank are ranked and returned: a bucket
+    holds at least one row, so these are at most ``first`` buckets of a group.
     """
-    keyed = df.withColumn("_hash", hash_key(id_col, seed)).withColumn(
-        "_bucket", F.substring("_hash", 1, _BUCKET_HEX)
-    )
-    counts = keyed.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    owner = list(group) or [F.lit(0)]
+    hashed = F.coalesce(hash_key(id_col, seed), F.lit("0" * 32))  # rows without an id come first
+    keyed = df.withColumn("_hash", hashed).withColumn("_bucket", F.substring("_hash", 1, _BUCKET_HEX))
+    # Keys that are never null stand for the group's columns.
+    owner = []
+    for i, g in enumerate(group):
+        text = F.col(g).cast("string")
+        keyed = keyed.withColumns({f"_g{i}": F.coalesce(text, F.lit("")), f"_z{i}": text.isNull()})
+        owner += [f"_g{i}", f"_z{i}"]
+    keys = [*owner, "_bucket"]
+    counts = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    owner = owner or [F.lit(0)]
     before = (
         Window.partitionBy(*owner).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -90,25 +110,32 @@ def hash_rank(
             "group_size": F.sum("_n").over(whole),
         }
     ).drop("_n")
-    inside = Window.partitionBy(*group, "_bucket").orderBy("_hash", id_col)
-    return (
-        keyed.withColumn("_local", F.row_number().over(inside))
-        .join(starts, [*group, "_bucket"])
-        .withColumn(out, (F.col("_start") + F.col("_local")).cast("bigint"))
-        .drop("_hash", "_bucket", "_local", "_start")
+    inside = Window.partitionBy(*keys).orderBy("_hash", id_col)
+    local = F.row_number().over(inside)
+    if first is None:
+        placed = keyed.withColumn("_local", local).join(starts, keys)
+    else:
+        # Written first, so that Spark knows its size: a small one is broadcast, and the rows of
+        # all other buckets go before anything is shuffled.
+        needed = materialize(starts.where(F.col("_start") < first), "buckets")
+        placed = keyed.join(needed, keys).withColumn("_local", local)
+    return placed.withColumn(out, (F.col("_start") + F.col("_local")).cast("bigint")).drop(
+        "_hash", *keys, "_local", "_start"
     )
 
 
 def sample_n(df: DataFrame, id_col: str, n: int, seed: int | str = 42) -> DataFrame:
     """``n`` rows, the same ones every time."""
-    return hash_rank(df, id_col, seed).where(F.col("rank") <= n).drop("rank", "group_size")
+    ranked = hash_rank(df, id_col, seed, first=n)
+    return ranked.where(F.col("rank") <= n).drop("rank", "group_size")
 
 
 def balanced_sample(
     df: DataFrame, label: str, id_col: str, n: int, seed: int | str = 42
 ) -> DataFrame:
     """Up to ``n`` rows of each class, with ``rank`` as the shuffled order inside the class."""
-    return hash_rank(df, id_col, seed, [label]).where(F.col("rank") <= n).drop("group_size")
+    ranked = hash_rank(df, id_col, seed, [label], first=n)
+    return ranked.where(F.col("rank") <= n).drop("group_size")
 
 
 def stratified_split(

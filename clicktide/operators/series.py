@@ -145,7 +145,7 @@ def regression_slope(
     sizes = placed.groupBy(*series).agg(F.count(F.lit(1)).alias("_n"))
     dropped = F.greatest(F.lit(1), F.floor(F.col("_n") * F.lit(skip))).cast("bigint")
     joined = (
-        join_per_key(placed, sizes, list(series), "inner")
+        join_per_key(placed, sizes, list(series), "inner", null_safe=True)
         if series
         else placed.withColumn("_n", F.lit(sizes.first()["_n"]))
     )
@@ -178,7 +178,7 @@ def histogram(df: DataFrame, series: Sequence[str], value: str, bins: int = 30)
     index = F.least(F.lit(bins - 1), F.floor(position)).cast("bigint")
     rows = df.where(F.col(value).isNotNull())
     if series:
-        placed = join_per_key(rows, ends, list(series), "inner")
+        placed = join_per_key(rows, ends, list(series), "inner", null_safe=True)
     else:
         placed = rows.withColumns({c: F.lit(v) for c, v in ends.first().asDict().items()})
     return placed.groupBy(*series, index.alias("bin")).agg(

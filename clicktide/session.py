@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,7 +57,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="clicktide-")
         spark.sparkContext.setCheckpointDir(root)
@@ -62,8 +65,27 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new, unused path inside the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/clicktide/{name}-{uuid.uuid4().hex}"
+    """A new, unused path inside this application's part of the shared folder."""
+    return f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/clicktide/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application, when no result is read any more."""
+    own = spark._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    own.getFileSystem(spark._jsc.hadoopConfiguration()).delete(own, True)
+
+
+@contextmanager
+def scratch_space(spark: SparkSession) -> Iterator[SparkSession]:
+    """A job with intermediate tables; they go when it ends, whether it succeeds or not."""
+    try:
+        yield spark
+    finally:
+        clear_scratch(spark)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -16,14 +16,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents, spread over the cores if the files give fewer splits than there are.
-
-    Work on texts is heavy per row. Tables of many files have plenty of splits and are left
-    as they are.
-    """
-    d = table(spark, sf_dir, "documents")
-    cores = spark.sparkContext.defaultParallelism
-    return d.repartition(cores, "doc_id") if d.rdd.getNumPartitions() < cores else d
+    return table(spark, sf_dir, "documents")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

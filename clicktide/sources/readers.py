@@ -36,9 +36,16 @@ def read_behavior_csv(
     return df.withColumnsRenamed({"merchant_id": "category_id"})
 
 
-def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header and inferred types; fields may hold quoted JSON and line breaks."""
-    return spark.read.csv(path, header=True, inferSchema=True, multiLine=True, escape='"')
+def read_csv_inferred(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, multi_line: bool = False
+) -> DataFrame:
+    """CSV with a header; fields may hold quoted JSON.
+
+    Types are inferred by one more scan unless a schema is given. Files are split over tasks;
+    ``multi_line`` lets fields hold line breaks, and then each file is one task.
+    """
+    reader = spark.read.schema(schema) if schema else spark.read.option("inferSchema", True)
+    return reader.csv(path, header=True, multiLine=multi_line, escape='"')
 
 
 def looks_like_header(cells: Sequence[str | None], expected: Sequence[str] = BEHAVIOR_COLUMNS) -> bool:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,8 +58,8 @@ def replace_partitions(df: DataFrame, path: str, by: list[str] | None = None) ->
     where = hadoop.Path(target)
     fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
     fs.delete(hadoop.Path(old), True)
-    if fs.exists(where):
-        fs.rename(where, hadoop.Path(old))
+    if fs.exists(where) and not fs.rename(where, hadoop.Path(old)):
+        raise OSError(f"could not move {target} to {old}")
     if not fs.rename(hadoop.Path(staging), where):
         fs.rename(hadoop.Path(old), where)
         raise OSError(f"could not move {staging} to {target}")
@@ -84,14 +86,16 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def storage_report(spark: SparkSession, root: str, partition: str, original_mb: float) -> DataFrame:
     """Files and MB per partition value, MB in total and percent saved against the original.
 
-    File sizes come from the scan's own metadata; a file counts once, not once per row.
+    Only the list of files is read, never their rows; a file's value is in its path.
     """
-    files = (
-        spark.read.parquet(root)
-        .select(partition, "_metadata.file_path", "_metadata.file_size")
-        .groupBy(partition, "file_path")
-        .agg(F.max("file_size").alias("file_size"))
+    listed = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .load(root)
     )
+    value = F.regexp_extract("path", f"/{re.escape(partition)}=([^/]*)/", 1)
+    files = listed.select(F.url_decode(value).alias(partition), F.col("length").alias("file_size"))
     per_value = files.groupBy(partition).agg(
         F.count(F.lit(1)).alias("files"), (F.sum("file_size") / (1024 * 1024)).alias("mb")
     )

@@ -200,16 +200,17 @@ def external_score(events: DataFrame, make_predict, batch_size: int = 50) -> Dat
 
 
 def load_scorer(spark: SparkSession, model_path: str | None):
-    """The saved model if it loads and passes a probe with one valid event, else the rules."""
+    """(scorer, reason): the saved model if it loads and passes a probe with one valid event, else
+    the rules and why."""
     if model_path is None:
-        return rule_score
+        return rule_score, "no model"
     probe = '{"event_time": "2026-05-04 12:00:00.000", "user_id": 1, "item_id": 1, "behavior_type": "view"}'
     try:
         model = PipelineModel.load(model_path)
         model_score(parse_events(spark.createDataFrame([(probe,)], "value string")), model).collect()
-    except Exception:  # noqa: BLE001 - whatever makes the model unusable, the rules take over
-        return rule_score
-    return lambda events: model_score(events, model)
+    except Exception as error:  # noqa: BLE001 - whatever makes the model unusable, the rules take over
+        return rule_score, f"{type(error).__name__}: {error}"[:500]
+    return (lambda events: model_score(events, model)), None
 
 
 def score_and_route(lines: DataFrame, scorer=rule_score) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-_COUNTERS = "produced bigint, consumed bigint, dead_lettered bigint, fallback_predictions bigint"
+from clicktide.operators.series import hysteresis
+from clicktide.streaming.run import read_batches
 
 
 def observed(routed: DataFrame, name: str = "pipeline") -> DataFrame:
@@ -21,18 +22,32 @@ def observed(routed: DataFrame, name: str = "pipeline") -> DataFrame:
     )
 
 
-def progress_metrics(spark: SparkSession, query: StreamingQuery, name: str = "pipeline") -> DataFrame:
-    """Counters and input rates per recent batch; one row per progress report."""
-    rows = []
-    for p in query.recentProgress:
-        seen = (p["observedMetrics"] or {}).get(name)
-        if seen is None or p["numInputRows"] == 0:
-            continue
-        counts = [seen[c] for c in ("produced", "consumed", "dead_lettered", "fallback_predictions")]
-        rows.append((p["batchId"], p["timestamp"], p["inputRowsPerSecond"],
-                     p["processedRowsPerSecond"], *counts))
-    schema = f"batch_id bigint, at string, input_rate double, process_rate double, {_COUNTERS}"
-    return spark.createDataFrame(rows, schema)
+def progress_metrics(spark: SparkSession, query: StreamingQuery, path: str) -> DataFrame:
+    """Counters and input rates per batch.
+
+    The counters come from what the batches wrote under ``path``, so no batch is missing however
+    long the query has run. Rates are known for the recent batches only, whose progress reports
+    Spark still holds (``spark.sql.streaming.numRecentProgressUpdates``), and null for others.
+    """
+    reports = [
+        (p["batchId"], p["timestamp"], p["inputRowsPerSecond"], p["processedRowsPerSecond"])
+        for p in query.recentProgress
+        if p["numInputRows"] > 0
+    ]
+    schema = "batch_id bigint, at string, input_rate double, process_rate double"
+    rates = spark.createDataFrame(reports, schema).dropDuplicates(["batch_id"])
+    dead = F.col("route") == "dead"
+    counts = (
+        read_batches(spark, path)
+        .groupBy(F.col("batch_id").cast("bigint").alias("batch_id"))
+        .agg(
+            F.count(F.lit(1)).alias("produced"),
+            F.count_if(~dead).alias("consumed"),
+            F.count_if(dead).alias("dead_lettered"),
+            F.count_if(F.col("error") == "RULE_FALLBACK").alias("fallback_predictions"),
+        )
+    )
+    return counts.join(F.broadcast(rates), "batch_id", "left")
 
 
 def pipeline_metrics(routed: DataFrame) -> DataFrame:
@@ -51,6 +66,13 @@ def pipeline_metrics(routed: DataFrame) -> DataFrame:
 
 def intake_options(source: str, limit: int, hot: bool = False, slowdown: int = 3) -> dict[str, int]:
     """Reader options that bound what one batch takes in; less while the load is high."""
+    # The state of ``load_is_high`` belongs in ``hot``.
     names = {"kafka": "maxOffsetsPerTrigger", "rate": "rowsPerSecond"}
     bound = max(1, limit // slowdown) if hot else limit
     return {names.get(source, "maxFilesPerTrigger"): bound}
+
+
+def load_is_high(samples: DataFrame, order: str = "at", load: str = "load_pct") -> bool:
+    """State of the hysteresis after the last sample of one pipeline's load; False without any."""
+    last = hysteresis(samples, [], [order], load).orderBy(F.desc(order)).first()
+    return bool(last and last["backpressure_active"])

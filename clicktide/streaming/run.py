@@ -23,8 +23,12 @@ def start(
     processing_time: str | None = None,
     by: Sequence[str] = (),
     shape: Callable[[DataFrame], DataFrame] | None = None,
+    fallback: Callable[[DataFrame, Exception], DataFrame] | None = None,
 ) -> StreamingQuery:
-    """Write each micro-batch under its id.
+    """Write each micro-batch under its id, after ``shape`` if given.
+
+    If shaping or writing a batch fails, ``fallback`` gets the batch and the error, and what it
+    returns is written instead; without it, or if that fails too, the query ends.
 
     Without ``processing_time`` all available input is processed and the stream stops; with it
     a batch starts at that interval, which bounds the age of a row (batch size is bounded at
@@ -32,11 +36,18 @@ def start(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        shaped = shape(batch) if shape else batch
-        writer = shaped.write.mode("overwrite")
-        if by:
-            writer = writer.partitionBy(*by)
-        writer.parquet(f"{path}/batch_id={batch_id}")
+        def put(shaped: DataFrame) -> None:
+            writer = shaped.write.mode("overwrite")
+            if by:
+                writer = writer.partitionBy(*by)
+            writer.parquet(f"{path}/batch_id={batch_id}")
+
+        try:
+            put(shape(batch) if shape else batch)
+        except Exception as error:  # noqa: BLE001 - whatever failed, the fallback may do
+            if fallback is None:
+                raise
+            put(fallback(batch, error))
 
     trigger = {"processingTime": processing_time} if processing_time else {"availableNow": True}
     return (
@@ -75,8 +86,10 @@ def latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
 def last_batch(spark: SparkSession, path: str) -> DataFrame:
     """Of a stream in complete mode, the newest result.
 
-    The batch number is a partition value, so finding it reads no data files.
+    Its folder is found by listing the folders; no data file is opened for that.
     """
-    batches = read_batches(spark, path)
-    newest = batches.agg(F.max("batch_id")).first()[0]
-    return batches.where(F.col("batch_id") == newest).drop("batch_id")
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(hadoop)
+    names = [status.getPath().getName() for status in listed]
+    newest = max(int(n.split("=")[1]) for n in names if n.startswith("batch_id="))
+    return spark.read.parquet(f"{path}/batch_id={newest}")

@@ -1,35 +1,37 @@
-"""Sessions of a stream of events."""
+"""Sessions of a stream of events, as session windows: Spark keeps, merges and drops their state."""
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-# The driver-side helper of stateful operators does not see shipped packages, so the processor
-# travels as a whole.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-SESSION_ROWS = (
-    "user_id bigint, session_no bigint, start_ms bigint, end_ms bigint, events bigint, history string"
+_PARTS = (
+    "user_id bigint, first_ts timestamp, gap_ms bigint, last_ms bigint, events bigint, "
+    "recent array<struct<ms: bigint, behavior: string>>"
 )
-_PARTS = "user_id bigint, slot bigint, first_ms bigint, last_ms bigint, events bigint, recent string"
+
+
+def _has_user(time: str) -> Column:
+    """A user is there. The condition names the time as well, so that Spark does not test it below
+    the watermark, where rows without a user would no longer move it."""
+    return F.col(time) < F.when(F.col("user_id").isNotNull(), F.lit("9999-12-31").cast("timestamp"))
 
 
 def stream_sessions(events: DataFrame, timeout: int = 1800, lateness: str = "10 minutes") -> DataFrame:
     """Sessions per user as session windows; a gap of exactly ``timeout`` stays inside.
 
     With ``merge.sessions.in.local.partition`` on (see the session defaults) a task merges a
-    user's events before the shuffle.
+    user's events before the shuffle. In append mode a session is written once, when the
+    watermark has passed its end, and its state is dropped. Rows without a user belong to no
+    session, but their time counts for the watermark.
     """
     sessions = (
-        events.where(F.col("event_ts").isNotNull() & F.col("user_id").isNotNull())
+        events.where(F.col("event_ts").isNotNull())
         .withWatermark("event_ts", lateness)
+        .where(_has_user("event_ts"))
         .groupBy("user_id", F.session_window("event_ts", f"{timeout} seconds"))
         .agg(F.count(F.lit(1)).alias("events"))
     )
@@ -45,85 +47,64 @@ def slot_parts(events: DataFrame, timeout: int = 1800, keep: int = 10) -> DataFr
     """Events folded, batch by Arrow batch, to one row per user and slot of ``timeout`` seconds.
 
     Times in one slot lie less than ``timeout`` apart, so they share a session whatever else
-    arrives. This keeps a hot user's raw events from going to the user's state task.
+    arrives. This keeps a hot user's raw events from going to the user's state task. ``recent``
+    holds the last ``keep`` behaviours by time, then name.
     """
     width = timeout * 1000
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            batch = batch.sort_values("ms", kind="stable")
+            batch = batch.sort_values(["ms", "behavior_type"], kind="stable")
             batch["slot"] = batch["ms"] // width
-            grouped = batch.groupby(["user_id", "slot"], sort=False)
+            keys = ["user_id", "slot"]
+            grouped = batch.groupby(keys, sort=False, dropna=False)
             folded = grouped["ms"].agg(first_ms="min", last_ms="max", events="size")
             tail = grouped.tail(keep)
-            pair = tail["ms"].astype(str) + ":" + tail["behavior_type"]
-            recent = pair.groupby([tail["user_id"], tail["slot"]], sort=False).agg(" ".join)
-            yield folded.assign(recent=recent).reset_index()
-
-    timed = events.where(F.col("event_ts").isNotNull() & F.col("user_id").isNotNull()).select(
+            pairs = [{"ms": m, "behavior": b} for m, b in zip(tail["ms"], tail["behavior_type"])]
+            recent = pd.Series(pairs, index=tail.index, dtype=object)
+            parts = folded.join(recent.groupby([tail["user_id"], tail["slot"]], dropna=False).agg(list).rename("recent"))
+            parts = parts.reset_index()
+            parts["first_ts"] = pd.to_datetime(parts["first_ms"], unit="ms", utc=True)
+            parts["gap_ms"] = parts["last_ms"] - parts["first_ms"] + width
+            yield parts[["user_id", "first_ts", "gap_ms", "last_ms", "events", "recent"]].astype({"user_id": "Int64"})
+
+    timed = events.where(F.col("event_ts").isNotNull()).select(
         "user_id", F.unix_millis("event_ts").alias("ms"), "behavior_type"
     )
     return timed.mapInPandas(fold, _PARTS)
 
 
-class SessionHistory(StatefulProcessor):
-    """Keeps, per user, the open session and its last behaviours.
-
-    A new session starts when a slot begins more than ``timeout`` after the last activity.
-    Late rows join the open session. Every touched session is emitted; the newest row per
-    (user, session number) counts.
-    """
-
-    def __init__(self, timeout: int = 1800, keep: int = 10):
-        self.gap_ms = timeout * 1000
-        self.keep = keep
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.open = handle.getValueState(
-            "open", "session_no bigint, start_ms bigint, end_ms bigint, events bigint, history string"
-        )
+def session_history(
+    events: DataFrame, timeout: int = 1800, keep: int = 10, lateness: str = "10 minutes"
+) -> DataFrame:
+    """Sessions with their last ``keep`` behaviours as (ms, behavior), for append mode.
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        parts = pd.concat(list(rows)).sort_values(["slot", "first_ms"])
-        session = list(self.open.get()) if self.open.exists() else None
-        touched = []
-        for part in parts.itertuples(index=False):
-            if session is None or part.first_ms - session[2] > self.gap_ms:
-                if session is not None:
-                    touched.append(session)
-                number = 1 if session is None else session[0] + 1
-                session = [number, part.first_ms, part.last_ms, 0, ""]
-            session[1] = min(session[1], part.first_ms)
-            session[2] = max(session[2], part.last_ms)
-            session[3] += part.events
-            session[4] = self._recent(session[4], part.recent)
-        self.open.update(tuple(int(v) for v in session[:4]) + (session[4],))
-        touched.append(session)
-        names = ["session_no", "start_ms", "end_ms", "events", "history"]
-        out = pd.DataFrame(touched, columns=names).drop_duplicates("session_no", keep="last")
-        out.insert(0, "user_id", key[0])
-        yield out
-
-    def _recent(self, old: str, new: str) -> str:
-        pairs = sorted((old + " " + new).split(), key=lambda p: int(p.split(":", 1)[0]))
-        return " ".join(pairs[-self.keep:])
-
-    def close(self) -> None:
-        pass
-
-
-def session_history(events: DataFrame, timeout: int = 1800, keep: int = 10) -> DataFrame:
-    """Sessions with their last ``keep`` behaviours (as ``ms:behaviour``), kept in state.
-
-    Needs the RocksDB state store.
+    A part that arrives late, but within ``lateness``, opens a session, joins one or merges two, so
+    the result does not depend on how events fall into batches. What a session holds is at most
+    ``keep`` behaviours for each of its slots.
     """
-    return (
-        slot_parts(events, timeout, keep)
-        .groupBy("user_id")
-        .transformWithStateInPandas(
-            statefulProcessor=SessionHistory(timeout, keep),
-            outputStructType=SESSION_ROWS,
-            outputMode="Update",
-            timeMode="None",
+    parts = slot_parts(events, timeout, keep).withWatermark("first_ts", lateness)
+    gap = F.concat(F.col("gap_ms").cast("string"), F.lit(" milliseconds"))
+    sessions = (
+        parts.where(_has_user("first_ts"))
+        .groupBy("user_id", F.session_window("first_ts", gap))
+        .agg(
+            F.max("last_ms").alias("end_ms"),
+            F.sum("events").alias("events"),
+            F.flatten(F.collect_list("recent")).alias("recent"),
         )
     )
+    newest = F.slice(F.reverse(F.array_sort("recent")), 1, keep)
+    return sessions.select(
+        "user_id",
+        F.unix_millis(F.col("session_window.start")).alias("start_ms"),
+        "end_ms",
+        "events",
+        F.reverse(newest).alias("history"),
+    )
+
+
+def numbered(sessions: DataFrame) -> DataFrame:
+    """``session_no`` from 1 in each user's order of time; for a finished table of sessions."""
+    order = Window.partitionBy("user_id").orderBy("start_ms")
+    return sessions.withColumn("session_no", F.row_number().over(order).cast("bigint"))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clicktide.functions import scalars as S
 from clicktide.functions.scalars import ratio
 
 # Behaviours that make up a window's total.
@@ -13,18 +14,25 @@ TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSS"
 
 
 def timed_events(lines: DataFrame) -> DataFrame:
-    """``event_ts``, ``user_id`` and ``behavior_type`` of JSON lines; broken JSON is skipped.
+    """``event_ts``, ``user_id`` and ``behavior_type`` of JSON objects; other lines are skipped.
 
-    A missing behaviour is ``unknown``.
+    The time is ``timestamp`` in epoch seconds if given, else ``event_time``, by the same rule as
+    ``parse_events``; without a usable one ``event_ts`` is null, see ``untimed``. A missing
+    behaviour is ``unknown``.
     """
-    e = F.from_json("value", "event_time string, user_id bigint, behavior_type string")
+    e = F.from_json("value", "event_time string, timestamp string, user_id string, behavior_type string")
     return lines.where(F.json_object_keys("value").isNotNull()).select(
-        F.try_to_timestamp(e["event_time"], F.lit(TIME_FORMAT)).alias("event_ts"),
-        e["user_id"].alias("user_id"),
+        S.stamp_or_time(e["timestamp"], e["event_time"]).alias("event_ts"),
+        S.safe_int(e["user_id"]).alias("user_id"),
         F.coalesce(e["behavior_type"], F.lit("unknown")).alias("behavior_type"),
     )
 
 
+def untimed(events: DataFrame) -> DataFrame:
+    """Events with and without a usable time; windows and sessions hold the former only."""
+    return events.groupBy(F.col("event_ts").isNotNull().alias("timed")).agg(F.count(F.lit(1)).alias("cnt"))
+
+
 def window_counts(events: DataFrame, seconds: int = 10, lateness: str = "10 minutes") -> DataFrame:
     """Events per window and behaviour; the same plan serves batch and stream.
 
@@ -58,6 +66,6 @@ def running_totals(events: DataFrame) -> DataFrame:
 
 
 def with_percent(totals: DataFrame) -> DataFrame:
-    """Percent of all events. There is one row per behaviour, so the window stays small."""
-    everything = Window.partitionBy(F.lit(0))
-    return totals.withColumn("pct", ratio(F.col("cnt") * 100.0, F.sum("cnt").over(everything)))
+    """Percent of all events, on a finished table of totals."""
+    everything = totals.agg(F.sum("cnt")).first()[0]
+    return totals.withColumn("pct", ratio(F.col("cnt") * 100.0, F.lit(everything).cast("double")))

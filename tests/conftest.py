@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from clicktide.session import build_session
+    from clicktide.session import build_session, clear_scratch
 
     session = build_session(
         "tests",
@@ -28,6 +28,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("OFF")
     yield session
+    clear_scratch(session)
     session.stop()
 
 

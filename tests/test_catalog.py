@@ -7,7 +7,6 @@ from conftest import SF
 from clicktide import catalog
 
 catalog.load_all()
-SLOW = {"cv_metrics", "ablation"}
 
 
 @pytest.mark.parametrize("name", sorted(catalog.ORACLES))
@@ -15,7 +14,7 @@ def test_equals_sql(spark, duck, name):
     assert mismatch(catalog.QUERIES[name](spark, SF), duck, catalog.ORACLES[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLES) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLES)))
 def test_gives_rows(spark, name):
     assert catalog.QUERIES[name](spark, SF).count() > 0
 

@@ -1,8 +1,10 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from clicktide.plans.scoring import start_scoring
 from clicktide.session import scratch
 from clicktide.sources import readers
 from clicktide.streaming import drift, events, metrics, run, sessions, windows
@@ -62,16 +64,14 @@ def stream_of(spark, batches, files=None):
 def test_nothing_is_lost_and_a_rerun_changes_nothing(spark):
     faulty = [altered(), altered(item_id="x"), '"BROKEN_EVENT_PAYLOAD"', altered(behavior_type="buy")]
     stream = stream_of(spark, [faulty, faulty[:2]], files=1)
-    path, query = run.run_available(
-        metrics.observed(events.score_and_route(stream)), "test-routed", by=["route"]
-    )
+    path, query = run.run_available(events.score_and_route(stream), "test-routed", by=["route"])
     routed = run.read_batches(spark, path)
     assert routed.select("batch_id").distinct().count() == 2
     assert events.scored_events(routed).count() == 3 and events.dead_letters(routed).count() == 3
     assert {r["raw"] for r in events.dead_letters(routed).collect()} == {altered(item_id="x"), faulty[2]}
     labels = {(r["behavior_type"], r["predicted_label"]) for r in events.scored_events(routed).collect()}
     assert labels == {("cart", 0), ("buy", 1)}
-    counted = metrics.progress_metrics(spark, query).agg(F.sum("produced"), F.sum("dead_lettered")).first()
+    counted = metrics.progress_metrics(spark, query, path).agg(F.sum("produced"), F.sum("dead_lettered")).first()
     assert tuple(counted) == (6, 3)
     # The same batch written again, as after a failure, replaces itself.
     batch = routed.where("batch_id = 0").drop("batch_id").cache()
@@ -89,7 +89,72 @@ def test_summary_of_failed_rows(spark):
 
 
 def test_unusable_model_falls_back_to_rules(spark):
-    assert events.load_scorer(spark, "/tmp/no-such-model") is events.rule_score
+    scorer, reason = events.load_scorer(spark, "/tmp/no-such-model")
+    assert scorer is events.rule_score and "no-such-model" in reason
+
+
+def test_metrics_of_more_batches_than_reports(spark):
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(key, "3")
+    try:
+        stream = stream_of(spark, [[altered(user_id=i)] for i in range(8)], files=1)
+        path, query = run.run_available(events.score_and_route(stream), "test-many", by=["route"])
+    finally:
+        spark.conf.unset(key)
+    assert len(query.recentProgress) <= 3
+    found = metrics.progress_metrics(spark, query, path).orderBy("batch_id").collect()
+    assert [(r["batch_id"], r["produced"]) for r in found] == [(i, 1) for i in range(8)]
+    assert found[0]["input_rate"] is None and found[-1]["input_rate"] is not None
+
+
+def test_a_model_that_fails_while_running(spark, tmp_path):
+    """The batch is scored by the rules, with the reason; other batches keep the model."""
+
+    def scorer(parsed):
+        explode = F.when(F.col("user_id") == 13, F.raise_error(F.lit("model broke")).cast("double"))
+        return parsed.withColumns(
+            {"predicted_label": F.lit(1), "buy_probability": explode.otherwise(0.9), "score_tag": F.lit("")}
+        )
+
+    source = f"{tmp_path}/lines"
+    for batch in ([altered(user_id=1)], [altered(user_id=13), altered(user_id=2)]):
+        lines(spark, batch).coalesce(1).write.mode("append").text(source)
+    out = f"{tmp_path}/out"
+    query = start_scoring(spark, source, out, f"{tmp_path}/state", files_per_batch=1, scorer=scorer)
+    query.awaitTermination()
+    found = {r["user_id"]: r for r in run.read_batches(spark, out).collect()}
+    assert (found[1]["error"] or "", found[1]["buy_probability"], found[1]["fallback_reason"]) == ("", 0.9, None)
+    for user in (13, 2):
+        assert found[user]["error"] == "RULE_FALLBACK" and found[user]["buy_probability"] == 0.35
+        assert "model broke" in found[user]["fallback_reason"]
+
+
+def test_intake_follows_the_load(spark):
+    loads = [0.2, 0.9, 0.5, 0.4]
+    samples = spark.createDataFrame(list(enumerate(loads)), "at int, load_pct double")
+    assert metrics.load_is_high(samples)
+    assert not metrics.load_is_high(samples.unionByName(spark.createDataFrame([(9, 0.1)], "at int, load_pct double")))
+    assert not metrics.load_is_high(samples.limit(0))
+
+
+@pytest.mark.parametrize(
+    "line",
+    [altered(event_time="2024-01-06 13:00:00.123456"), altered(event_time="2024-1-6 13:0:0.1"),
+     altered(event_time="DROP", timestamp=1704546000), altered(event_time="x", timestamp="1704546000.7")],
+)
+def test_times_of_windows_are_those_of_parsing(spark, line):
+    frame = lines(spark, [line])
+    seconds = events.parse_events(frame).first()["timestamp"]
+    timed = windows.timed_events(frame)
+    assert seconds == 1704546000
+    assert timed.select(F.unix_seconds("event_ts")).first()[0] == seconds
+    assert windows.window_counts(timed).first()["window_start"] == 1704546000
+
+
+def test_events_without_a_time_are_counted(spark):
+    frame = lines(spark, [altered(), altered(event_time="soon"), altered(event_time="DROP"), "no json"])
+    found = {r["timed"]: r["cnt"] for r in windows.untimed(windows.timed_events(frame)).collect()}
+    assert found == {True: 1, False: 2}
 
 
 def test_windows_in_two_batches_equal_one(spark):
@@ -117,23 +182,51 @@ def test_session_gap_in_a_stream(spark):
     assert rows[0]["end_ms"] - rows[0]["start_ms"] == 1800_000
 
 
+def at(minute, behavior, user=1):
+    time = f"2024-01-06 {8 + minute // 60:02d}:{minute % 60:02d}:00.000"
+    return altered(event_time=time, behavior_type=behavior, user_id=user)
+
+
+MARK = altered(event_time="2100-01-01 00:00:00.000", user_id="DROP")
+
+
+def histories(spark, batches, timeout=1800):
+    """Sessions of a run with these batches, the last of which moves the watermark past all."""
+    stream = stream_of(spark, [*batches, [MARK]], files=1)
+    found = sessions.session_history(windows.timed_events(stream), timeout, lateness="2 days")
+    path, _ = run.run_available(found, "test-history")
+    rows = sessions.numbered(run.read_batches(spark, path)).collect()
+    return sorted(
+        (r["user_id"], r["session_no"], r["start_ms"], r["end_ms"], r["events"],
+         tuple((h["ms"], h["behavior"]) for h in r["history"]))
+        for r in rows
+    )
+
+
 def test_history_keeps_the_last_ten_across_batches(spark):
-    spark.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    )
-
-    def event(minute, behavior):
-        return altered(event_time=f"2024-01-06 {13 + minute // 60}:{minute % 60:02d}:00.000", behavior_type=behavior)
-
-    first = [event(m, f"b{m}") for m in range(8)]
-    second = [event(m, f"b{m}") for m in range(8, 14)] + [event(13 + 31, "late")]
-    found = sessions.session_history(windows.timed_events(stream_of(spark, [first, second], files=1)))
-    path, _ = run.run_available(found, "test-history", output_mode="update")
-    rows = run.latest(spark, path, ["user_id", "session_no"]).orderBy("session_no").collect()
-    assert [(r["session_no"], r["events"]) for r in rows] == [(1, 14), (2, 1)] or [
-        r["events"] for r in rows] == [14, 1]
-    assert [p.split(":")[1] for p in rows[0]["history"].split()] == [f"b{m}" for m in range(4, 14)]
+    first = [at(m, f"add to {m:02d}") for m in range(8)]
+    second = [at(m, f"add to {m:02d}") for m in range(8, 14)] + [at(13 + 31, "late")]
+    rows = histories(spark, [first, second])
+    assert [(r[1], r[4]) for r in rows] == [(1, 14), (2, 1)]
+    assert [b for _, b in rows[0][5]] == [f"add to {m:02d}" for m in range(4, 14)]
+
+
+def test_sessions_do_not_depend_on_batches(spark):
+    rng = random.Random(6)
+    rows = [at(m, rng.choice(["view", "cart", "add to cart"]), rng.choice([1, 2])) for m in rng.sample(range(900), 60)]
+    rows += rows[:3]  # copies
+    whole = histories(spark, [rows])
+    assert len({r[:2] for r in whole}) > 6
+    rng.shuffle(rows)
+    assert histories(spark, [rows[i::5] for i in range(5)]) == whole
+
+
+def test_a_late_part_opens_a_session_of_its_own(spark):
+    day = 25 * 60
+    rows = histories(spark, [[at(day % 900 + 300, "now")], [at(10, "long ago")]])
+    assert [(r[1], r[4]) for r in rows] == [(1, 1), (2, 1)]
+    joined = histories(spark, [[at(100, "a")], [at(160, "c")], [at(130, "b")]])
+    assert [(r[4], [b for _, b in r[5]]) for r in joined] == [(3, ["a", "b", "c"])]
 
 
 def test_drift(spark):
