@@ -10,7 +10,7 @@ from clicktide.functions import scalars as S
 from clicktide.plans.scoring import start_scoring
 from clicktide.session import scratch
 from clicktide.sources import adapters as A
-from clicktide.sources import readers
+from clicktide.sources import faulty, readers
 from clicktide.streaming import drift, events, metrics, run, sessions, windows
 
 RATE = 0.1
@@ -38,7 +38,7 @@ def line_stream(spark, lines):
 
 
 def clean_lines(spark, sf):
-    return line_stream(spark, events.inject_faults(stream_events(spark, sf), "event_id", 0.0).select("value"))
+    return line_stream(spark, faulty.inject_faults(stream_events(spark, sf), "event_id", 0.0).select("value"))
 
 
 def odd_times(spark, sf):
@@ -56,7 +56,7 @@ def odd_times(spark, sf):
 
 
 def faulty_lines(spark, sf):
-    return line_stream(spark, events.inject_faults(stream_events(spark, sf), "event_id", RATE).select("value"))
+    return line_stream(spark, faulty.inject_faults(stream_events(spark, sf), "event_id", RATE).select("value"))
 
 
 def routed(spark, sf):
@@ -93,7 +93,7 @@ r AS (SELECT *, CASE WHEN kind = 0 AND fld = 0 THEN 'missing user_id'
     ),
 )
 def inject_faults(spark, sf):
-    return events.inject_faults(stream_events(spark, sf), "event_id", RATE).drop("value")
+    return faulty.inject_faults(stream_events(spark, sf), "event_id", RATE).drop("value")
 
 
 @register(
@@ -110,7 +110,7 @@ def inject_faults(spark, sf):
     ),
 )
 def parse_events(spark, sf):
-    lines = events.inject_faults(stream_events(spark, sf), "event_id", RATE).drop("fault")
+    lines = faulty.inject_faults(stream_events(spark, sf), "event_id", RATE).drop("fault")
     parsed = events.parse_events(lines)
     good = F.col("error").isNull()
     kept = ("user_id", "item_id", "category_id", "hour", "dayofweek", "is_weekend")
@@ -186,7 +186,7 @@ def dead_letters(spark, sf):
     letters = events.dead_letters(routed(spark, sf))
     return letters.groupBy("error").agg(
         F.count(F.lit(1)).alias("cnt"),
-        F.count_if(F.col("raw") == events.BAD_PAYLOAD).alias("broken_payloads"),
+        F.count_if(F.col("raw") == faulty.BAD_PAYLOAD).alias("broken_payloads"),
     )
 
 
@@ -218,7 +218,7 @@ def scoring_summary(spark, sf):
     ),
 )
 def pipeline_metrics(spark, sf):
-    lines = events.inject_faults(stream_events(spark, sf), "event_id", RATE)
+    lines = faulty.inject_faults(stream_events(spark, sf), "event_id", RATE)
     return metrics.pipeline_metrics(events.score_and_route(lines.drop("event_id")))
 
 
@@ -291,7 +291,7 @@ def untimed_events(spark, sf):
 )
 def bounded_batches(spark, sf):
     """Several files, one per batch while the load is high, on a timer; the rows of one batch."""
-    lines = events.inject_faults(stream_events(spark, sf), "event_id", RATE).select("value")
+    lines = faulty.inject_faults(stream_events(spark, sf), "event_id", RATE).select("value")
     source = scratch(spark, "lines")
     lines.repartition(4).write.text(source)
     samples = spark.range(3).select(F.col("id").alias("at"), F.lit(0.9).alias("load_pct"))
@@ -366,7 +366,7 @@ def flushed(spark, sf, name, plan):
     """Sessions in append mode. When all events are in, a line without a user, far ahead in time,
     moves the watermark past the open sessions; the query goes on from its checkpoint."""
     lines = scratch(spark, "lines")
-    events.inject_faults(stream_events(spark, sf), "event_id", 0.0).select("value").write.text(lines)
+    faulty.inject_faults(stream_events(spark, sf), "event_id", 0.0).select("value").write.text(lines)
     out, state = scratch(spark, name), scratch(spark, f"{name}-state")
     for extra in (None, '{"event_time": "2100-01-01 00:00:00.000"}'):
         if extra:
