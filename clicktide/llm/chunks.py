@@ -5,8 +5,8 @@ within ``REACH`` bytes to either side, moved to the end of the character. So a c
 passage shifts its cuts with it, and two documents that share a passage cut it alike but for its
 edges. Chunks have ``REACH`` + 1 bytes at least (but for ends of texts) and ``LONGEST`` at most.
 
-Chunks are counted over the whole corpus by a 64-bit digest, and those met more than once are
-compared by a 128-bit digest. Neighbouring repeated chunks of a document form a run; runs of
+Chunks are counted over the whole corpus by 64 bits of their digest, and those met more than once are
+compared by 96 bits of it. Neighbouring repeated chunks of a document form a run; runs of
 ``MIN_RUN_BYTES`` or more are repeats. The first place of a chunk, by (doc_id, start), is its owner
 and stays; a repeat's other chunks can be removed from the text.
 """
@@ -114,7 +114,7 @@ def _chunk_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 pa.array(begin.astype(np.int32)),
                 pa.array((stop - begin).astype(np.int32)),
                 pa.array(np.ascontiguousarray(halves[:, 0])),
-                pa.array(np.ascontiguousarray(halves[:, 1])),
+                pa.array(halves[:, 1].astype(np.int32)),
             ],
             ["doc_id", "start", "size", "h1", "h2"],
         )
@@ -127,7 +127,7 @@ def text_chunks(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("bigint"), whole_text().alias("_text")
     )
     return texts.mapInArrow(
-        _chunk_batches, "doc_id bigint, start int, size int, h1 bigint, h2 bigint"
+        _chunk_batches, "doc_id bigint, start int, size int, h1 bigint, h2 int"
     )
 
 
@@ -142,7 +142,8 @@ def repeated_runs(docs: DataFrame, min_run_bytes: int = MIN_RUN_BYTES) -> DataFr
     """
     chunks = materialize(text_chunks(docs), "chunks")
     met = chunks.groupBy("h1").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("h1")
-    again = join_per_key(chunks, met.withColumn("_met", F.lit(1)), ["h1"], "inner").drop("_met")
+    # Written first: then both sides are shuffled for the join, and a hot chunk can be split.
+    again = chunks.join(materialize(met, "repeated"), "h1")
     again = materialize(again.distinct(), "met-chunks")
     owners = (
         again.groupBy("h1", "h2")
@@ -217,7 +218,8 @@ def remove_repeats(docs: DataFrame, min_run_bytes: int = MIN_RUN_BYTES) -> DataF
         .select("doc_id")
     )
     spans = materialize(spans.join(ambiguous, "doc_id", "left_anti"), "spans")
-    marked = whole_rows(docs).join(spans, "doc_id", "left")
+    # The spans grow with the corpus, so the join is a merge at every size.
+    marked = whole_rows(docs).join(spans.hint("merge"), "doc_id", "left")
 
     @F.pandas_udf("string")
     def cut(texts, spans):

@@ -26,7 +26,7 @@ from clicktide.llm.common import single_threaded, text_batches, whole_text
 WINDOW = 2048
 OPEN_WINDOWS = 4096
 END_ID = 1
-UNIT_CACHE = 600_000
+UNIT_CACHE = 350_000
 _BLANKS = " \n\t\r"
 _UNIT = re.compile(f"[{_BLANKS}]*[^{_BLANKS}]+|[{_BLANKS}]+")
 #: Blanks that the tokenizer or Python know besides those; texts with one are encoded in one go.
