@@ -10,18 +10,6 @@ from clicktide.operators.series import hysteresis
 from clicktide.streaming.run import read_batches
 
 
-def observed(routed: DataFrame, name: str = "pipeline") -> DataFrame:
-    """Count rows as they pass; the counts appear in the query's progress of each batch."""
-    dead = F.col("route") == "dead"
-    return routed.observe(
-        name,
-        F.count(F.lit(1)).alias("produced"),
-        F.count_if(~dead).alias("consumed"),
-        F.count_if(dead).alias("dead_lettered"),
-        F.count_if(F.col("error") == "RULE_FALLBACK").alias("fallback_predictions"),
-    )
-
-
 def progress_metrics(spark: SparkSession, query: StreamingQuery, path: str) -> DataFrame:
     """Counters and input rates per batch.
 

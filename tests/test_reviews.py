@@ -99,17 +99,17 @@ class Flaky:
 def test_extraction(spark):
     df = spark.createDataFrame([(1, "flaky"), (2, "prose"), (3, "good")], "id int, review string").coalesce(1)
     found = extraction.extract_features(df, "review", Flaky(), wait=(0.0, 0.01)).orderBy("id").collect()
-    assert tuple(found[0])[2:] == ("正面", "质量", "flaky")
-    assert tuple(found[1])[2:] == ("解析失败", "解析失败", "Here is a long answer that is ")
+    assert tuple(found[0])[2:] == ("正面", "质量", "flaky", None)
+    assert tuple(found[1])[2:] == ("解析失败", "解析失败", "Here is a long answer that is ", None)
     whole = extraction.extract_features(df, "review", Flaky(), whole_fallback=True, wait=(0.0, 0.01))
-    assert tuple(whole.orderBy("id").collect()[1])[2:] == ("解析失败",) * 3
+    assert tuple(whole.orderBy("id").collect()[1])[2:] == ("解析失败",) * 3 + (None,)
     assert tuple(extraction.extraction_summary(whole).first()) == (2, 1, 2 / 3)
 
 
 def test_extraction_gives_up_on_other_errors(spark):
     df = spark.createDataFrame([("fatal",)], "review string")
     with pytest.raises(Exception, match="unretryable"):
-        extraction.extract_features(df, "review", Flaky()).collect()
+        extraction.extract_features(df, "review", Flaky(), on_error="raise").collect()
     with pytest.raises(extraction.RetryableError):
         def always(text):
             raise extraction.RetryableError(text)

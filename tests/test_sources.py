@@ -59,4 +59,4 @@ def test_csv_keeps_json_and_spaces(spark):
     path = scratch(spark, "csv")
     df = spark.createDataFrame([('{"a": "b, c"}', "  x "), ("line\nbreak", "y")], "j string, t string")
     writers.write_csv(df, path)
-    assert sorted(map(tuple, readers.read_csv_inferred(spark, path).collect())) == sorted(map(tuple, df.collect()))
+    assert sorted(map(tuple, readers.read_csv_inferred(spark, path, multi_line=True).collect())) == sorted(map(tuple, df.collect()))
