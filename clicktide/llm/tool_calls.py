@@ -101,8 +101,17 @@ def call_levels(calls: DataFrame) -> DataFrame:
     """
     spark = calls.sparkSession
     known = calls.select(F.col("call_id").alias("_known"))
-    start = calls.join(known, F.col("parent_id") == F.col("_known"), "left").select(
-        "call_id", F.col("_known").alias("ahead"), F.when(F.col("_known").isNull(), 0).otherwise(1).alias("level")
+    # Calls without a parent, perhaps most of them, need not meet in the task of the null key.
+    first = calls.where(F.col("parent_id").isNull()).select(
+        "call_id", F.lit(None).cast("string").alias("ahead"), F.lit(0).alias("level")
+    )
+    later = calls.where(F.col("parent_id").isNotNull()).join(
+        known, F.col("parent_id") == F.col("_known"), "left"
+    )
+    start = first.unionByName(
+        later.select(
+            "call_id", F.col("_known").alias("ahead"), F.col("_known").isNotNull().cast("int").alias("level")
+        )
     )
     path = scratch(spark, "levels")
     start.write.parquet(path)
