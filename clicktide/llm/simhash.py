@@ -244,15 +244,16 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, key_limit: int =
     return join_per_key(rows, by_fp, ["fp"], "inner").select("doc_id", "fp", "component_id")
 
 
-def representatives(docs: DataFrame) -> DataFrame:
+def representatives(docs: DataFrame, find=near_duplicates) -> DataFrame:
     """``docs`` without the near-duplicates of a document with a smaller doc_id.
 
+    ``find(docs)`` gives the doc_id and component_id of every row.
     One document of each group stays, the one with the smallest doc_id, with all its columns. Rows
     that repeat a kept doc_id stay too if they differ from it, and once if they are alike. Rows
     without a doc_id stay, for nothing names them.
     """
     per_id = (
-        near_duplicates(docs)
+        find(docs)
         .groupBy("doc_id")
         .agg(
             F.max(F.col("doc_id") == F.col("component_id")).alias("leads"),
