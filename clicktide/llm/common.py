@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Rows per Arrow batch where Python sees whole texts, so that a batch of long texts stays small.
 TEXT_BATCH_ROWS = 512
+#: Bytes per Arrow batch, whatever its rows; a longer text is a batch of its own.
+TEXT_BATCH_BYTES = 8 << 20
 #: Fixed value: rows whose crc32(id) gives this remainder modulo 5 are held out from training.
 FOLDS, HELD_OUT_FOLD = 5, 0
 
@@ -20,8 +22,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def text_batches(spark: SparkSession) -> None:
-    """Bound the rows that one Arrow batch hands to Python."""
+    """Bound the rows and bytes that one Arrow batch hands to Python."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(TEXT_BATCH_BYTES))
 
 
 def whole_text(col: str = "text") -> Column:

@@ -11,6 +11,7 @@ from clicktide.llm import (
     chunks,
     html_text,
     packing,
+    periodic_runs,
     pieces,
     quality,
     simhash,
@@ -200,3 +201,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         tool_calls.SCHEMAS,
     )
     return linked.withColumn("problems", F.concat_ws("; ", "problems"))
+
+
+@register("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, and digests of all runs and the collapsed text."""
+    return periodic_runs.periodic_runs(table(spark, sf_dir, "documents"))
