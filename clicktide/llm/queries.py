@@ -14,6 +14,7 @@ from clicktide.llm import (
     periodic_runs,
     pieces,
     quality,
+    quality_rules,
     simhash,
     tool_calls,
     topk,
@@ -207,3 +208,89 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of words in every document, and digests of all runs and the collapsed text."""
     return periodic_runs.periodic_runs(table(spark, sf_dir, "documents"))
+
+
+@register(
+    "op13_quality_rules",
+    r"""
+    WITH d AS (
+        SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text
+        FROM documents
+    ), w AS (
+        SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+               list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+        FROM d
+    ), windows AS (
+        SELECT r, i, list_slice(words, i, i + 7) AS held
+        FROM (SELECT r, words, unnest(range(1, len(words) - 6)) AS i FROM w WHERE len(words) >= 8)
+    ), twice AS (
+        SELECT r, unnest(list(i)) AS i FROM windows GROUP BY r, held HAVING count(*) > 1
+    ), repeats AS (
+        SELECT r, count(DISTINCT place) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS place FROM twice) GROUP BY r
+    ), c AS (
+        SELECT w.r, doc_id, stratum, len(words) AS n_words,
+               coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
+               length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+               len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+               len(lines) AS n_lines, length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_capitals,
+               length(regexp_replace(text, '[^!?]', '', 'g')) AS n_marks
+        FROM w LEFT JOIN repeats ON repeats.r = w.r
+    ), v AS (
+        SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+               CASE WHEN NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) THEN
+               [1000 * n_symbols // n_words, 1000 * n_repeat_words // n_words,
+                1000 * n_dup_lines // n_lines, 1000 * n_capitals // word_chars, 1000 * n_marks // n_words,
+                1000 * word_chars // n_words, -(1000 * word_chars // n_words)] END AS x
+        FROM c
+    ), known AS (
+        SELECT doc_id, min(quality) AS label FROM labels
+        WHERE quality IN (0, 1) AND doc_id IS NOT NULL
+        GROUP BY doc_id HAVING min(quality) = max(quality)
+    ), l AS (
+        SELECT stratum, label, x, md5(doc_id::VARCHAR) < '8' AS proposing
+        FROM v JOIN known USING (doc_id) WHERE NOT base_failed
+    ), ranked AS (
+        SELECT stratum, rule, value, count(*) OVER (PARTITION BY stratum, rule) AS n,
+               count(*) OVER (PARTITION BY stratum, rule ORDER BY value DESC) - count(*) OVER
+               (PARTITION BY stratum, rule, value) AS above
+        FROM (SELECT stratum, generate_subscripts(x, 1) AS rule, unnest(x) AS value
+              FROM l WHERE proposing AND label = 1)
+    ), by_rule AS (
+        SELECT stratum, level, rule, min(value) AS cutoff
+        FROM ranked, (SELECT unnest([0, 1, 2, 4, 8, 16, 32]) AS level)
+        WHERE above * 1000 <= level * n GROUP BY ALL
+    ), cuts AS (
+        SELECT stratum, level, list(cutoff ORDER BY rule) AS y
+        FROM (FROM by_rule UNION ALL
+              SELECT stratum, -1, rule, max(cutoff) OVER (PARTITION BY rule) FROM by_rule WHERE level = 0)
+        GROUP BY stratum, level
+    ), counted AS (
+        SELECT stratum, level, count(*) FILTER (NOT proposing AND label = 1) AS n,
+               count(*) FILTER (NOT proposing AND label = 1 AND bad) AS k,
+               count(*) FILTER (proposing AND label = 0 AND bad) * count(*) FILTER (proposing AND label = 1)
+               - count(*) FILTER (proposing AND label = 1 AND bad) * count(*) FILTER (proposing AND label = 0)
+               AS gain
+        FROM (SELECT *, list_bool_or(list_transform(list_zip(x, y), lambda p: p[1] > p[2])) AS bad
+              FROM l JOIN cuts USING (stratum))
+        GROUP BY stratum, level
+    ), tails AS (
+        SELECT *, CASE WHEN k >= n * 0.05 THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1),
+                   lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
+                                 + i * ln(0.05) + (n - i) * ln(0.95)))) END
+               > 0.05 / (SELECT count(DISTINCT stratum) FROM counted WHERE n > 0) AS failed
+        FROM counted
+    ), chosen AS (
+        SELECT stratum, arg_max(y, (gain, -level)) AS y
+        FROM tails t JOIN cuts USING (stratum, level)
+        WHERE gain > 0 AND NOT EXISTS (FROM tails f WHERE f.stratum = t.stratum AND f.failed AND f.level <= t.level)
+        GROUP BY stratum
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT base_failed AND NOT coalesce(
+               list_bool_or(list_transform(list_zip(x, y), lambda p: p[1] > p[2])), false) AS kept
+    FROM v LEFT JOIN chosen USING (stratum)
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and the verdict of certified quality rules for every document."""
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
