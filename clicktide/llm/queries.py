@@ -20,6 +20,7 @@ from clicktide.llm import (
     topk,
     toxicity,
     vector_graph,
+    whitening,
 )
 from clicktide.llm.common import table
 from clicktide.session import DEFAULTS, ship_package
@@ -294,3 +295,9 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and the verdict of certified quality rules for every document."""
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op12_embedding_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of every vector in the 32 greatest principal directions."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))

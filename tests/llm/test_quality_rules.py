@@ -124,12 +124,12 @@ def test_equals_sql(spark, duck):
 
 
 def test_parts_good_from_bad(spark):
-    sf = "/root/testdata/sf0.01"
+    sf = "/root/testdata/sf0.1"
     judged = queries.QUERIES["op13_quality_rules"](spark, sf)
     labels = spark.read.parquet(f"{sf}/labels.parquet").where("quality IS NOT NULL")
     shares = dict(
         judged.where("NOT base_failed").join(labels, "doc_id")
         .groupBy("quality").agg(F.avg(F.col("kept").cast("int"))).collect()
     )
-    assert shares[1] > 0.95
-    assert shares[0] < 0.4
+    assert shares[1] > 0.98
+    assert shares[0] < 0.05
