@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clicktide.llm import chunks, near_copies, packing, quality, simhash, toxicity
+from clicktide.llm import chunks, packing, quality, simhash, toxicity
 from clicktide.llm.common import table
 from clicktide.llm.queries import prepare, tokenizer_file
 from clicktide.session import materialize
@@ -23,9 +23,9 @@ def drop_bad(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a five-word Jaccard similarity of 0.8 or more."""
+    """One document of each group linked by SimHash fingerprints, as the operator's contract sets them."""
     prepare(spark)
-    return simhash.representatives(docs, near_copies.near_copies)
+    return simhash.representatives(docs)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
