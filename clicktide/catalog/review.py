@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from clicktide.catalog import register
 from clicktide.catalog.shared_sql import REVIEWS, with_
 from clicktide.functions import scalars as S
-from clicktide.operators import extraction, reviews
+from clicktide.operators import extraction, replies, reviews
+from clicktide.session import scratch
 from clicktide.sources import adapters as A
 
 # The supplied texts are in European languages; groups and stop-words to match.
@@ -200,6 +201,25 @@ def extract_features(spark, sf):
     return found.select("doc_id", "sentiment", "category", "summary")
 
 
+@register(
+    "extract_features_once",
+    with_(
+        REVIEWS + ", " + _FEATURES,
+        """SELECT doc_id, sentiment, category, summary,
+                  (SELECT count(DISTINCT review) FROM reviews) AS asked, 0::BIGINT AS asked_again FROM f""",
+    ),
+)
+def extract_features_once(spark, sf):
+    """Equal texts are asked once; what a second run asks is counted beside the features."""
+    texts, store = A.reviews(spark, sf), scratch(spark, "replies")
+    asked = [replies.fetch_replies(texts, "review", keyword_extractor, store) for _ in range(2)]
+    found = replies.extract_features_once(texts, "review", keyword_extractor, store)
+    return found.select(
+        "doc_id", "sentiment", "category", "summary",
+        F.lit(asked[0]).cast("bigint").alias("asked"), F.lit(asked[1]).cast("bigint").alias("asked_again"),
+    )
+
+
 @register(
     "extraction_summary",
     with_(

@@ -110,6 +110,19 @@ def parse_reply(reply: Column, whole_fallback: bool = False) -> Column:
     return F.when(usable, F.from_json(reply, FEATURES)).otherwise(fallback)
 
 
+def features_of(
+    replies: DataFrame, columns: list[str], reply: str, error: str, whole_fallback: bool = False
+) -> DataFrame:
+    """``columns`` with ``sentiment``, ``category``, ``summary`` and ``error`` from raw replies.
+
+    A row whose call failed has the fallback mark in all three and the error.
+    """
+    parsed = F.when(F.col(error).isNotNull(), F.struct(*[F.lit(FALLBACK).alias(c) for c in FEATURES.names]))
+    parsed = parsed.otherwise(parse_reply(F.col(reply), whole_fallback))
+    features = [F.col(f"_f.{c}") for c in FEATURES.names]
+    return replies.withColumn("_f", parsed).select(*columns, *features, F.col(error).alias("error"))
+
+
 def extract_features(
     df: DataFrame,
     column: str,
@@ -117,15 +130,13 @@ def extract_features(
     whole_fallback: bool = False,
     **options,
 ) -> DataFrame:
-    """Add ``sentiment``, ``category``, ``summary`` and ``error`` to each row.
+    """Features of each row's text, asked in place (see ``ask``).
 
-    A row whose call failed has the fallback mark in all three and the error.
+    Every row is one call and calls are bounded per task; ``replies.extract_features_once`` asks
+    equal texts once and bounds the calls of the whole job.
     """
     replies = ask(df, column, extractor, "_reply", error="_error", **options)
-    parsed = F.when(F.col("_error").isNotNull(), F.struct(*[F.lit(FALLBACK).alias(c) for c in FEATURES.names]))
-    parsed = parsed.otherwise(parse_reply(F.col("_reply"), whole_fallback))
-    features = [F.col(f"_f.{c}") for c in FEATURES.names]
-    return replies.withColumn("_f", parsed).select(*df.columns, *features, F.col("_error").alias("error"))
+    return features_of(replies, df.columns, "_reply", "_error", whole_fallback)
 
 
 def extraction_summary(df: DataFrame) -> DataFrame:
