@@ -14,6 +14,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,9 @@ from clicktide.llm.common import single_threaded, text_batches, whole_text
 WINDOW = 2048
 OPEN_WINDOWS = 4096
 END_ID = 1
-UNIT_CACHE = 350_000
+UNIT_CACHE = 500_000
+#: Units that are encoded as one string and cut apart again.
+JOINED = 256
 _BLANKS = " \n\t\r"
 _UNIT = re.compile(f"[{_BLANKS}]*[^{_BLANKS}]+|[{_BLANKS}]+")
 #: Blanks that the tokenizer or Python know besides those; texts with one are encoded in one go.
@@ -44,18 +47,44 @@ class UnitEncoder:
 
         self.tokenizer = Tokenizer.from_file(tokenizer)
         self.cache: dict[str, bytes] = {}
+        # A token of a byte-level vocabulary is written with one letter per byte.
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.token_bytes = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=np.int64)
+        for token, i in vocabulary.items():
+            self.token_bytes[i] = len(token)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
+    def _encode_joined(self, units: list[str]) -> list[bytes]:
+        """Ids of units that begin with a blank and end without one. Side by side they are cut
+        where a unit's last byte ends a token, as it must; else they are encoded one by one."""
+        out: list[bytes] = []
+        groups = [units[i : i + JOINED] for i in range(0, len(units), JOINED)]
+        joined = self.tokenizer.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)
+        for group, found in zip(groups, joined):
+            ids = np.array(found.ids, dtype="<u4")
+            token_ends = np.cumsum(self.token_bytes[ids])
+            unit_ends = np.cumsum([len(u.encode()) for u in group])
+            last = np.minimum(np.searchsorted(token_ends, unit_ends), len(ids) - 1)
+            if (token_ends[last] != unit_ends).any() or token_ends[-1] != unit_ends[-1]:
+                out += self._encode(group)
+                continue
+            raw, ends = ids.tobytes(), (4 * (last + 1)).tolist()
+            out += [raw[a:b] for a, b in zip([0, *ends], ends)]
+        return out
+
     def encode_all(self, texts: list[str]) -> list[bytes]:
         units = [[t] if _RARE_BLANK.search(t) else _UNIT.findall(t) for t in texts]
         get = self.cache.get
-        missing = list(set().union(*units).difference(self.cache))
-        new = dict(zip(missing, self._encode(missing)))
-        room = UNIT_CACHE - len(self.cache)
-        self.cache.update([(u, new[u]) for u in missing[: max(room, 0)] if len(u) < 64])
+        missing = set().union(*units).difference(self.cache)
+        joinable = [u for u in missing if u[0] in _BLANKS and u[-1] not in _BLANKS and not _RARE_BLANK.search(u)]
+        single = list(missing.difference(joinable))
+        new = dict(zip(joinable, self._encode_joined(joinable)))
+        new.update(zip(single, self._encode(single)))
+        room = max(UNIT_CACHE - len(self.cache), 0)
+        self.cache.update([(u, ids) for u, ids in islice(new.items(), room) if len(u) < 64])
         return [b"".join([get(u) or new[u] for u in text]) for text in units]
 
 
@@ -85,9 +114,10 @@ class SumOfSquares:
     def add(self, piece: list) -> None:
         document, start, ids = piece
         full = self.window * 4
-        while len(ids) >= full:
-            self.closed.append([[document, start, ids[:full]]])
-            start, ids = start + self.window, ids[full:]
+        whole = len(ids) // full
+        for at in range(0, whole * full, full):
+            self.closed.append([[document, start + at // 4, ids[at : at + full]]])
+        start, ids = start + whole * self.window, ids[whole * full :]
         if not ids:
             return
         size = len(ids) // 4
