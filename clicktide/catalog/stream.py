@@ -11,7 +11,7 @@ from clicktide.plans.scoring import start_scoring
 from clicktide.session import scratch
 from clicktide.sources import adapters as A
 from clicktide.sources import faulty, readers
-from clicktide.streaming import drift, events, metrics, run, sessions, windows
+from clicktide.streaming import drift, event_sessions, events, metrics, run, sessions, windows
 
 RATE = 0.1
 # Event types as stream behaviours; errors come without one.
@@ -362,7 +362,31 @@ def stream_session_history(spark, sf):
     return found.withColumn("history", F.array_join(text, " "))
 
 
-def flushed(spark, sf, name, plan):
+@register(
+    "stream_event_sessions",
+    with_(
+        _STREAM.replace("SELECT user_id, CASE", "SELECT user_id, item_id, CASE"),
+        _SESSIONS.format(ms=21_600_000).replace("ORDER BY ms", "ORDER BY ms, behavior_type, item_id")
+        + """, t AS (SELECT *, min(ms) OVER (PARTITION BY user_id, session_no) AS start_ms FROM n)
+             SELECT user_id, item_id, behavior_type, ms,
+                    substr(sha256(user_id || ':' || start_ms), 1, 12) AS session_id,
+                    lag(ms) OVER w AS last_active_ms,
+                    string_agg(behavior_type, ' ') OVER (w ROWS 9 PRECEDING) AS history
+             FROM t WINDOW w AS (PARTITION BY user_id, session_no ORDER BY rn)""",
+    ),
+)
+def stream_event_sessions(spark, sf):
+    def plan(e):
+        return event_sessions.event_sessions(
+            e, ["item_id"], ("ms", "behavior_type", "item_id"), 21_600
+        )
+
+    with run.rocksdb_state(spark):
+        found = flushed(spark, sf, "event-sessions", plan, ["item_id"])
+    return found.withColumn("history", F.array_join("history", " "))
+
+
+def flushed(spark, sf, name, plan, ids=()):
     """Sessions in append mode. When all events are in, a line without a user, far ahead in time,
     moves the watermark past the open sessions; the query goes on from its checkpoint."""
     lines = scratch(spark, "lines")
@@ -371,7 +395,7 @@ def flushed(spark, sf, name, plan):
     for extra in (None, '{"event_time": "2100-01-01 00:00:00.000"}'):
         if extra:
             spark.range(1).select(F.lit(extra).alias("value")).write.mode("append").text(lines)
-        stream = plan(windows.timed_events(readers.read_event_stream(spark, lines)))
+        stream = plan(windows.timed_events(readers.read_event_stream(spark, lines), ids))
         run.start(stream, out, state).awaitTermination()
     return run.read_batches(spark, out).drop("batch_id")
 

@@ -6,7 +6,8 @@ after a failure replaces its own folder, so each row counts exactly once.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +60,18 @@ def start(
     )
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[SparkSession]:
+    """Queries started inside keep their state in RocksDB, as timers and keyed state need."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield spark
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def run_available(stream: DataFrame, name: str, **options) -> tuple[str, StreamingQuery]:
     """Process what is there into a new folder; returns the folder and the finished query."""
     path = scratch(stream.sparkSession, name)

@@ -14,7 +14,7 @@ _PARTS = (
 )
 
 
-def _has_user(time: str) -> Column:
+def has_user(time: str) -> Column:
     """A user is there. The condition names the time as well, so that Spark does not test it below
     the watermark, where rows without a user would no longer move it."""
     return F.col(time) < F.when(F.col("user_id").isNotNull(), F.lit("9999-12-31").cast("timestamp"))
@@ -31,7 +31,7 @@ def stream_sessions(events: DataFrame, timeout: int = 1800, lateness: str = "10
     sessions = (
         events.where(F.col("event_ts").isNotNull())
         .withWatermark("event_ts", lateness)
-        .where(_has_user("event_ts"))
+        .where(has_user("event_ts"))
         .groupBy("user_id", F.session_window("event_ts", f"{timeout} seconds"))
         .agg(F.count(F.lit(1)).alias("events"))
     )
@@ -86,7 +86,7 @@ def session_history(
     parts = slot_parts(events, timeout, keep).withWatermark("first_ts", lateness)
     gap = F.concat(F.col("gap_ms").cast("string"), F.lit(" milliseconds"))
     sessions = (
-        parts.where(_has_user("first_ts"))
+        parts.where(has_user("first_ts"))
         .groupBy("user_id", F.session_window("first_ts", gap))
         .agg(
             F.max("last_ms").alias("end_ms"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,18 +15,20 @@ COUNTED = ("view", "cart", "purchase")
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSS"
 
 
-def timed_events(lines: DataFrame) -> DataFrame:
-    """``event_ts``, ``user_id`` and ``behavior_type`` of JSON objects; other lines are skipped.
+def timed_events(lines: DataFrame, ids: Sequence[str] = ()) -> DataFrame:
+    """``event_ts``, ``user_id``, ``behavior_type`` and ``ids`` of JSON objects; other lines are skipped.
 
     The time is ``timestamp`` in epoch seconds if given, else ``event_time``, by the same rule as
     ``parse_events``; without a usable one ``event_ts`` is null, see ``untimed``. A missing
     behaviour is ``unknown``.
     """
-    e = F.from_json("value", "event_time string, timestamp string, user_id string, behavior_type string")
+    fields = ["event_time", "timestamp", "user_id", "behavior_type", *ids]
+    e = F.from_json("value", ", ".join(f"`{c}` string" for c in fields))
     return lines.where(F.json_object_keys("value").isNotNull()).select(
         S.stamp_or_time(e["timestamp"], e["event_time"]).alias("event_ts"),
         S.safe_int(e["user_id"]).alias("user_id"),
         F.coalesce(e["behavior_type"], F.lit("unknown")).alias("behavior_type"),
+        *[S.safe_int(e[c]).alias(c) for c in ids],
     )
 
 
