@@ -10,8 +10,9 @@ from clicktide.functions import scalars as S
 from clicktide.plans.scoring import start_scoring
 from clicktide.session import scratch
 from clicktide.sources import adapters as A
-from clicktide.sources import faulty, readers
+from clicktide.sources import faulty, paced, readers
 from clicktide.streaming import drift, event_sessions, events, metrics, run, sessions, windows
+from clicktide.streaming.load import LoadBoard
 
 RATE = 0.1
 # Event types as stream behaviours; errors come without one.
@@ -309,6 +310,40 @@ def bounded_batches(spark, sf):
     )
 
 
+@register(
+    "paced_batches",
+    with_(
+        _FAULTY,
+        """SELECT CASE WHEN error IS NULL THEN 'scored' ELSE 'dead' END AS route,
+                  coalesce(error, 'RULE_FALLBACK') AS error, count(*) AS cnt, 4 AS batches FROM r GROUP BY 1, 2""",
+    ),
+)
+def paced_batches(spark, sf):
+    """Twelve files, six a batch: two at a time while the load is high, so 2, 2, 6 and 2 in one run."""
+    lines = faulty.inject_faults(stream_events(spark, sf), "event_id", RATE).select("value")
+    source, out, state, board = (scratch(spark, n) for n in ("lines", "paced", "paced-state", "board"))
+    lines.repartition(12).write.text(source)
+    load = LoadBoard(board)
+    load.report(0, 0.9)
+    batches = []
+
+    def shape(batch):
+        batches.append(batch)
+        # The load is in between after the first batch, which changes nothing, and low after the second.
+        load.report(len(batches), {1: 0.5, 2: 0.2}.get(len(batches), 0.5))
+        return events.score_and_route(batch)
+
+    stream = paced.read_paced_lines(spark, source, f"{state}-position", 6, board)
+    query = run.start(stream, out, state, processing_time="100 milliseconds", by=["route"], shape=shape)
+    query.processAllAvailable()
+    query.stop()
+    found = run.read_batches(spark, out)
+    number = found.select("batch_id").distinct().count()
+    return found.groupBy("route", "error").agg(
+        F.count(F.lit(1)).alias("cnt"), F.lit(number).cast("int").alias("batches")
+    )
+
+
 @register(
     "running_totals",
     with_(
