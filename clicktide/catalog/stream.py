@@ -233,7 +233,9 @@ def pipeline_metrics(spark, sf):
     ),
 )
 def progress_metrics(spark, sf):
-    path, query = run.run_available(events.score_and_route(faulty_lines(spark, sf)), "observed", by=["route"])
+    path, query = run.run_available(
+        events.score_and_route(faulty_lines(spark, sf)), "observed", by=["route"], counters=metrics.counters()
+    )
     per_batch = metrics.progress_metrics(spark, query, path)
     counters = ("produced", "consumed", "dead_lettered", "fallback_predictions")
     return per_batch.agg(*[F.sum(c).alias(c) for c in counters])

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from clicktide.sources.paced import read_paced_lines
 from clicktide.sources.readers import read_event_stream
 from clicktide.streaming.events import load_scorer, rule_score, score_and_route
-from clicktide.streaming.metrics import intake_options, load_is_high
+from clicktide.streaming.metrics import counters, intake_options, load_is_high
 from clicktide.streaming.run import start
 
 
@@ -58,8 +58,9 @@ def start_scoring(
     else:
         lines = read_event_stream(spark, events_path, limit)
     return start(
-        lines, out, checkpoint, processing_time=processing_time, by=["route"], shape=shape, fallback=by_rules
-    )
+        lines, out, checkpoint, processing_time=processing_time, by=["route"], shape=shape, fallback=by_rules,
+        counters=counters(),
+    )
 
 
 def with_reason(routed: DataFrame, reason: str | None) -> DataFrame:

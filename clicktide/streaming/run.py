@@ -6,10 +6,10 @@ after a failure replaces its own folder, so each row counts exactly once.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -25,9 +25,13 @@ def start(
     by: Sequence[str] = (),
     shape: Callable[[DataFrame], DataFrame] | None = None,
     fallback: Callable[[DataFrame, Exception], DataFrame] | None = None,
+    counters: Mapping[str, Column] | None = None,
 ) -> StreamingQuery:
     """Write each micro-batch under its id, after ``shape`` if given.
 
+    ``counters`` are aggregates over what is written. They are taken while a batch is written, in the
+    task that writes a row, and kept as one row per batch beside ``path`` (see ``read_counters``).
+
     If shaping or writing a batch fails, ``fallback`` gets the batch and the error, and what it
     returns is written instead; without it, or if that fails too, the query ends.
 
@@ -38,10 +42,15 @@ def start(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         def put(shaped: DataFrame) -> None:
+            seen = Observation()
+            if counters:
+                shaped = shaped.observe(seen, *[c.alias(name) for name, c in counters.items()])
             writer = shaped.write.mode("overwrite")
             if by:
                 writer = writer.partitionBy(*by)
             writer.parquet(f"{path}/batch_id={batch_id}")
+            if counters:
+                _keep_counters(shaped.sparkSession, path, batch_id, seen.get, counters)
 
         try:
             put(shape(batch) if shape else batch)
@@ -80,6 +89,21 @@ def run_available(stream: DataFrame, name: str, **options) -> tuple[str, Streami
     return path, query
 
 
+def _keep_counters(
+    spark: SparkSession, path: str, batch_id: int, values: dict, counters: Mapping[str, Column]
+) -> None:
+    row = spark.range(1, numPartitions=1).select(*[F.lit(values[n]).cast("bigint").alias(n) for n in counters])
+    row.write.mode("overwrite").parquet(f"{path}.counters/batch_id={batch_id}")
+
+
+def read_counters(spark: SparkSession, path: str) -> DataFrame:
+    """One row per batch written to ``path`` with its counters; no written row is read again.
+
+    They are files like the batches, so they outlive the query, and a batch that is run again
+    replaces its own."""
+    return spark.read.parquet(f"{path}.counters")
+
+
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
     """All batches, with ``batch_id``."""
     return spark.read.parquet(path)

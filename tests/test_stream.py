@@ -64,7 +64,7 @@ def stream_of(spark, batches, files=None):
 def test_nothing_is_lost_and_a_rerun_changes_nothing(spark):
     faulty = [altered(), altered(item_id="x"), '"BROKEN_EVENT_PAYLOAD"', altered(behavior_type="buy")]
     stream = stream_of(spark, [faulty, faulty[:2]], files=1)
-    path, query = run.run_available(events.score_and_route(stream), "test-routed", by=["route"])
+    path, query = run.run_available(events.score_and_route(stream), "test-routed", by=["route"], counters=metrics.counters())
     routed = run.read_batches(spark, path)
     assert routed.select("batch_id").distinct().count() == 2
     assert events.scored_events(routed).count() == 3 and events.dead_letters(routed).count() == 3
@@ -73,6 +73,9 @@ def test_nothing_is_lost_and_a_rerun_changes_nothing(spark):
     assert labels == {("cart", 0), ("buy", 1)}
     counted = metrics.progress_metrics(spark, query, path).agg(F.sum("produced"), F.sum("dead_lettered")).first()
     assert tuple(counted) == (6, 3)
+    by_batch = routed.groupBy("batch_id").agg(*[c.alias(n) for n, c in metrics.counters().items()])
+    kept = run.read_counters(spark, path).select(*by_batch.columns)
+    assert sorted(kept.collect()) == sorted(by_batch.collect()), "no scan, the same counts"
     # The same batch written again, as after a failure, replaces itself.
     batch = routed.where("batch_id = 0").drop("batch_id").cache()
     batch.count()
@@ -98,7 +101,7 @@ def test_metrics_of_more_batches_than_reports(spark):
     spark.conf.set(key, "3")
     try:
         stream = stream_of(spark, [[altered(user_id=i)] for i in range(8)], files=1)
-        path, query = run.run_available(events.score_and_route(stream), "test-many", by=["route"])
+        path, query = run.run_available(events.score_and_route(stream), "test-many", by=["route"], counters=metrics.counters())
     finally:
         spark.conf.unset(key)
     assert len(query.recentProgress) <= 3
@@ -107,6 +110,31 @@ def test_metrics_of_more_batches_than_reports(spark):
     assert found[0]["input_rate"] is None and found[-1]["input_rate"] is not None
 
 
+def test_counters_survive_a_restart_and_a_failed_batch(spark, tmp_path):
+    source, out, state = (f"{tmp_path}/{n}" for n in ("lines", "out", "state"))
+    broken = {"left": 1}
+
+    def shape(batch):
+        if broken["left"] and batch.where("get_json_object(value, '$.user_id') = '2'").count():
+            broken["left"] -= 1
+            raise ValueError("lost")
+        return events.score_and_route(batch)
+
+    for users, ends in (([1], False), ([2, 3], True), ([], False), ([4], False)):
+        if users:
+            lines(spark, [altered(user_id=u) for u in users] + ["{"]).coalesce(1).write.mode("append").text(source)
+        stream = readers.read_event_stream(spark, source)
+        query = run.start(stream, out, state, by=["route"], shape=shape, counters=metrics.counters())
+        if ends:
+            with pytest.raises(Exception, match="lost"):
+                query.awaitTermination()
+        else:
+            query.awaitTermination()
+    found = run.read_counters(spark, out).orderBy("batch_id").collect()
+    assert [(r["produced"], r["dead_lettered"]) for r in found] == [(2, 1), (3, 1), (2, 1)]
+    assert [r["consumed"] for r in found] == [1, 2, 1]
+
+
 def test_a_model_that_fails_while_running(spark, tmp_path):
     """The batch is scored by the rules, with the reason; other batches keep the model."""
 
