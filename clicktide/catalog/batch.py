@@ -20,7 +20,7 @@ from clicktide.operators import cleaning, ordered, profile, quality, sampling, s
 from clicktide.plans.behavior import clean_behavior
 from clicktide.session import scratch
 from clicktide.sources import adapters as A
-from clicktide.sources import readers, writers
+from clicktide.sources import readers, versioned, writers
 
 LONG_TIMEOUT = 21_600
 THRESHOLD = 15
@@ -773,6 +773,33 @@ def replace_partitions(spark, sf):
     return spark.read.parquet(path)
 
 
+@register(
+    "overwrite_partitions",
+    with_(
+        BEHAVIOR,
+        """SELECT user_id, CASE WHEN behavior_type = 'buy' THEN -item_id ELSE item_id END AS item_id,
+                  category_id, timestamp, behavior_type, 2 AS versions, behavior_type <> 'buy' AS kept_files
+           FROM behavior""",
+    ),
+)
+def overwrite_partitions(spark, sf):
+    """The purchases are written anew from the table itself; files of other partitions stay."""
+    path = scratch(spark, "versioned")
+    versioned.overwrite_partitions(A.behavior(spark, sf), path, "behavior_type")
+    before = versioned.read_versioned(spark, path)
+    bought = before.where("behavior_type = 'buy'").withColumn("item_id", -F.col("item_id"))
+    versioned.overwrite_partitions(bought, path, "behavior_type")
+    old_files = before.select(F.input_file_name().alias("file")).distinct()
+    found = versioned.read_versioned(spark, path).withColumn("file", F.input_file_name())
+    kept = found.join(old_files.withColumn("kept_files", F.lit(True)), "file", "left").drop("file")
+    return kept.withColumns(
+        {
+            "kept_files": F.coalesce("kept_files", F.lit(False)),
+            "versions": F.lit(len(versioned.versions(spark, path))),
+        }
+    )
+
+
 @register(
     "behavior_csv",
     with_(
