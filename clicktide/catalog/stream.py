@@ -13,6 +13,7 @@ from clicktide.sources import adapters as A
 from clicktide.sources import faulty, paced, readers
 from clicktide.streaming import drift, event_sessions, events, metrics, run, sessions, windows
 from clicktide.streaming.load import LoadBoard
+from clicktide.streaming.load_state import stream_hysteresis
 
 RATE = 0.1
 # Event types as stream behaviours; errors come without one.
@@ -346,6 +347,33 @@ def paced_batches(spark, sf):
     )
 
 
+@register(
+    "stream_hysteresis",
+    """SELECT event_id, event_type, load_pct,
+              coalesce(last_value(s IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY ts, event_id
+                ROWS UNBOUNDED PRECEDING), 0) = 1 AS backpressure_active
+       FROM (SELECT *, CASE WHEN load_pct >= 0.85 THEN 1 WHEN load_pct <= 0.30 THEN 0 END AS s
+             FROM (SELECT event_id, event_type, ts, round(value / 50, 4) AS load_pct FROM events))""",
+)
+def stream_hysteresis_query(spark, sf):
+    """A last sample of another series, far ahead in time, lets all others leave."""
+    samples = A.load_samples(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
+    samples = samples.withColumn("us", F.unix_micros("ts"))
+    source, out, state = (scratch(spark, n) for n in ("samples", "active", "active-state"))
+    samples.write.parquet(source)
+    far = F.lit("2100-01-01").cast("timestamp")
+    for last in (False, True):
+        if last:
+            end = samples.limit(1).withColumns({"ts": far, "event_type": F.lit("end")})
+            end.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(samples.schema).parquet(source)
+        plan = stream_hysteresis(stream, ["event_type"], "ts", order=("us", "event_id"))
+        with run.rocksdb_state(spark):
+            query = run.start(plan, out, state)
+        query.awaitTermination()
+    return run.read_batches(spark, out).drop("batch_id", "ms", "us")
+
+
 @register(
     "running_totals",
     with_(

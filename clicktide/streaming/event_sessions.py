@@ -1,25 +1,24 @@
-"""A session id and recent history on every event of a stream, by keyed state with event-time timers.
-
-An event waits in its user's state until the watermark has passed it, then leaves in the order of
-time; so ids and histories do not depend on how events fall into batches. When a user has been idle
-for longer than the time-out, a timer drops the user's state. The state store must be RocksDB's
-(see ``run.rocksdb_state``).
-"""
+"""A session id and recent history on every event of a stream."""
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from clicktide.streaming.ordered_state import in_time_order
 from clicktide.streaming.sessions import has_user
 
-_SESSION = "start_ms bigint, last_ms bigint, recent array<string>"
+_ADDED = T.StructType(
+    [
+        T.StructField("session_id", T.StringType()),
+        T.StructField("last_active_ms", T.LongType()),
+        T.StructField("history", T.ArrayType(T.StringType())),
+    ]
+)
 
 
 def session_id(user_id, start_ms: int) -> str:
@@ -27,95 +26,6 @@ def session_id(user_id, start_ms: int) -> str:
     return hashlib.sha256(f"{user_id}:{start_ms}".encode()).hexdigest()[:12]
 
 
-class EventSessions(StatefulProcessor):
-    """State of a user: waiting events, the open session, and when the next timer fires."""
-
-    def __init__(self, waiting: T.StructType, order: Sequence[str], timeout_ms: int, keep: int) -> None:
-        self.schema, self.order = waiting, list(order)
-        self.timeout_ms, self.keep = timeout_ms, keep
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", self.schema)
-        self.session = handle.getValueState("session", _SESSION)
-        self.timer = handle.getValueState("timer", "at bigint")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        first = None
-        names = self.schema.names
-        for batch in rows:
-            records = [tuple(_plain(v) for v in r) for r in batch[names].itertuples(index=False, name=None)]
-            if records:
-                self.waiting.appendList(records)
-                low = int(batch["ms"].min())
-                first = low if first is None else min(first, low)
-        if first is not None:
-            self._wake_at(first, earlier_only=True)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = timerValues.getCurrentWatermarkInMs()
-        self.timer.clear()
-        names, ms = self.schema.names, self.schema.names.index("ms")
-        held = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
-        ready = [r for r in held if r[ms] <= now]
-        rest = [r for r in held if r[ms] > now]
-        places = [names.index(c) for c in self.order]
-        # Nulls first, as in Spark's own ascending order.
-        ready.sort(key=lambda r: [(r[p] is not None, r[p]) for p in places])
-        start, last, recent = None, None, []
-        if self.session.exists():
-            start, last, recent = self.session.get()
-            recent = list(recent)
-        behavior = names.index("behavior_type")
-        out = []
-        for row in ready:
-            before = last
-            if last is None or row[ms] - last > self.timeout_ms:
-                start, recent, before = row[ms], [], None
-            last = row[ms]
-            recent = [*recent, row[behavior]][-self.keep :]
-            out.append((key[0], *row, session_id(key[0], start), before, recent))
-        if ready:
-            self.waiting.clear()
-            if rest:
-                self.waiting.put(rest)
-        if rest:
-            self.session.update((start, last, recent)) if last is not None else None
-            self._wake_at(min(r[ms] for r in rest))
-        elif last is None or last + self.timeout_ms <= now:
-            # Whatever comes now is later than the watermark and opens a session of its own.
-            self.waiting.clear()
-            self.session.clear()
-        else:
-            self.session.update((start, last, recent))
-            self._wake_at(last + self.timeout_ms)
-        if out:
-            columns = ["user_id", *names, "session_id", "last_active_ms", "history"]
-            frame = pd.DataFrame(out, columns=columns)
-            frame["last_active_ms"] = frame["last_active_ms"].astype("Int64")
-            yield frame
-
-    def _wake_at(self, at: int, earlier_only: bool = False) -> None:
-        if self.timer.exists():
-            known = self.timer.get()[0]
-            if earlier_only and known <= at:
-                return
-            self.handle.deleteTimer(known)
-        self.handle.registerTimer(at)
-        self.timer.update((at,))
-
-    def close(self) -> None:
-        pass
-
-
-def _plain(value):
-    """A cell of pandas as Python's own type, with None for what is missing."""
-    if value is None or value is pd.NA or value is pd.NaT or (isinstance(value, float) and value != value):
-        return None
-    return value.item() if hasattr(value, "item") else value
-
-
 def event_sessions(
     events: DataFrame,
     carry: Sequence[str] = (),
@@ -126,32 +36,30 @@ def event_sessions(
 ) -> DataFrame:
     """Every event with ``session_id``, ``last_active_ms`` and ``history``, in append mode.
 
-    ``events`` has user_id, event_ts, behavior_type and the columns ``carry``. A gap of exactly
+    ``events`` has user_id, event_ts, behavior_type and the columns ``carry``. An event leaves when
+    the watermark has passed it, so the result does not depend on batches. A gap of exactly
     ``timeout`` seconds stays in the session. ``last_active_ms`` is the time of the session's event
-    before this one, null for its first; ``history`` has the session's last ``keep`` behaviours,
-    this event's included. Events at one time are taken by ``order``. Rows without a time or a user
-    are left out, the latter's time counts for the watermark; rows later than ``lateness`` are
-    dropped by Spark and counted in its progress. A user's waiting events of ``lateness`` and one
-    batch meet in one task, so the intake of a batch bounds it.
+    before this one, null for its first; ``history`` has the session's last ``keep`` behaviours, this
+    event's included. Events at one time are taken by ``order``. Rows without a time or a user are left
+    out, the latter's time counts for the watermark; rows later than ``lateness`` are dropped by
+    Spark and counted in its progress. The state of users idle for longer than ``timeout`` is dropped.
     """
-    columns = ["ms", "behavior_type", *carry]
-    timed = (
+    gap = timeout * 1000
+
+    def step(key, state, row):
+        start, last, recent = state or (None, None, [])
+        before = last
+        if last is None or row["ms"] - last > gap:
+            start, before, recent = row["ms"], None, []
+        recent = [*recent, row["behavior_type"]][-keep:]
+        return (start, row["ms"], recent), (session_id(key[0], start), before, recent)
+
+    watched = (
         events.where(F.col("event_ts").isNotNull())
         .withWatermark("event_ts", lateness)
         .where(has_user("event_ts"))
-        .select("user_id", "event_ts", F.unix_millis("event_ts").alias("ms"), "behavior_type", *carry)
-    )
-    waiting = T.StructType([T.StructField(c, timed.schema[c].dataType) for c in columns])
-    out = T.StructType(
-        [
-            timed.schema["user_id"],
-            *waiting.fields,
-            T.StructField("session_id", T.StringType()),
-            T.StructField("last_active_ms", T.LongType()),
-            T.StructField("history", T.ArrayType(T.StringType())),
-        ]
     )
-    return timed.groupBy("user_id").transformWithStateInPandas(
-        EventSessions(waiting, order, timeout * 1000, keep), out, "Append", "EventTime"
-    )
-
+    return in_time_order(
+        watched, ["user_id"], "event_ts", ["behavior_type", *carry], order, _ADDED,
+        "start_ms bigint, last_ms bigint, recent array<string>", step, gap,
+    )
