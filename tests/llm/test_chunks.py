@@ -15,14 +15,17 @@ def step_by_step_cuts(data: bytes) -> list[int]:
         if i >= chunks.GEAR_BYTES:
             h -= gear[data[i - chunks.GEAR_BYTES]] << chunks.GEAR_BYTES
         hashes.append(h % 2**32)
-    reach, cuts = chunks.REACH, []
+    reach, cuts, ties = chunks.REACH, [], []
     for i in range(reach, len(data) - reach):
-        before, after = hashes[i - reach : i], hashes[i + 1 : i + reach + 1]
-        if hashes[i] < min(before) and hashes[i] <= min(after):
-            cuts.append(i + 1)
+        before, after = min(hashes[i - reach : i]), min(hashes[i + 1 : i + reach + 1])
+        if hashes[i] <= after and hashes[i] <= before:
+            (cuts if hashes[i] < before else ties).append(i + 1)
     out, last = [], 0
     for c in [*cuts, len(data)] if data else []:
-        out += [*range(last + chunks.LONGEST, c, chunks.LONGEST), c]
+        if c - last > chunks.LONGEST:
+            first = next((t for t in ties if last < t < c), min(last + chunks.LONGEST, c))
+            out += [*range(last + chunks.LONGEST, first, chunks.LONGEST), *range(first, c, chunks.LONGEST)]
+        out.append(c)
         last = c
     moved = []
     for c in out:
@@ -52,7 +55,7 @@ def test_an_insertion_moves_few_chunks():
     assert len(before - after) <= 4
 
 
-def test_shared_passages_are_found_and_removed_once(make_docs):
+def test_shared_passages_are_found_whole_and_removed_once(make_docs):
     passage = prose(50, 60)
     texts = {i: prose(100 + i, 150) for i in range(8)}
     for i in (2, 5, 6):
@@ -64,14 +67,75 @@ def test_shared_passages_are_found_and_removed_once(make_docs):
     assert all(r.owned == (r.doc_id == 2) for r in runs)
     for r in runs:
         data = texts[r.doc_id].encode()[r.start : r.start + r.size].decode()
-        assert data in passage or passage in data
+        assert data.strip() == passage
     cleaned = chunks.remove_repeats(docs)
     assert cleaned.columns == docs.columns
     got = {r.doc_id: r.text for r in cleaned.collect()}
     assert all(got[i] == texts[i] for i in (0, 1, 2, 3, 4, 7))
     for i in (5, 6):
-        assert len(got[i]) < len(texts[i]) - 0.5 * len(passage)
-        assert texts[i].startswith(got[i][:700]) and texts[i].endswith(got[i][-300:])
+        assert got[i].split() == texts[i].replace(passage, "").split()
+
+
+def test_planted_passages_of_many_kinds(make_docs):
+    """Passages of 51 words between other texts: short words, long words, a short period."""
+    rng = random.Random(12)
+
+    def words(n, low, high):
+        return " ".join(
+            "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(low, high))) for _ in range(n)
+        )
+
+    passages = [words(51, 2, 4) for _ in range(60)] + [words(51, 9, 14) for _ in range(20)]
+    passages += [f"{words(1, 3, 3)} {words(1, 3, 3)} " * 39 + "end" for _ in range(20)]
+    rows = []
+    for i, passage in enumerate(passages):
+        for copy in (0, 1):
+            around = words(rng.randint(20, 60), 3, 8), words(rng.randint(20, 60), 3, 8)
+            rows.append((2 * i + copy, f"{around[0]} {passage} {around[1]}", passage))
+    docs = make_docs([r[:2] for r in rows])
+    found = {}
+    for r in chunks.repeated_runs(docs).collect():
+        found.setdefault(r.doc_id, []).append(r)
+    for i, text, passage in rows:
+        (run,) = found[i]
+        data = text.encode()[run.start : run.start + run.size].decode()
+        if passage.endswith("end"):  # of a short period: some periods may stay at the edges
+            assert data in f" {passage} " and len(data) > 0.75 * len(passage)
+        else:
+            assert data.strip() == passage
+    got = {r.doc_id: r.text for r in chunks.remove_repeats(docs).collect()}
+    for i, text, passage in rows:
+        if i % 2 == 0:
+            assert got[i] == text
+        elif not passage.endswith("end"):
+            assert got[i].split() == text.replace(passage, "").split()
+
+
+def test_what_one_document_repeats_is_its_own(make_docs):
+    refrain = prose(70, 80)
+    own = "\n".join([prose(71, 40), refrain, prose(72, 40), refrain, prose(73, 40)])
+    shared = prose(74, 80)
+    first = "\n".join([shared, prose(75, 60), shared])
+    later = "\n".join([prose(76, 60), shared, prose(77, 60), shared])
+    docs = make_docs([(1, own), (2, first), (3, later), (4, "short words only")])
+    runs = chunks.repeated_runs(docs).collect()
+    assert {(r.doc_id, r.owned, r.first_doc_id) for r in runs} == {(2, True, 2), (3, False, 2)}
+    got = {r.doc_id: r.text for r in chunks.remove_repeats(docs).collect()}
+    assert got[1] == own and got[2] == first
+    assert got[3].split() == later.replace(shared, "").split()
+
+
+def test_short_common_phrases_stay(make_docs):
+    phrase = prose(80, 25)
+    docs = make_docs([(i, prose(81 + i, 60) + " " + phrase + " " + prose(91 + i, 60)) for i in range(4)])
+    assert chunks.repeated_runs(docs).count() == 0
+    # Text without blanks counts by its bytes.
+    rng = random.Random(5)
+    long = "".join(rng.choice("abcdefgh") for _ in range(900))
+    docs = make_docs([(i, prose(101 + i, 60) + " " + long + " " + prose(111 + i, 60)) for i in range(2)])
+    assert [r.size for r in chunks.repeated_runs(docs).collect()] == [900, 900] or all(
+        900 <= r.size <= 902 for r in chunks.repeated_runs(docs).collect()
+    )
 
 
 def test_odd_rows(make_docs):
@@ -88,42 +152,66 @@ def test_odd_rows(make_docs):
     assert chunks.remove_repeats(make_docs([])).count() == 0
 
 
+def plain_growth(own, other, at, mate, step):
+    """Equal bytes from a place on in one direction, cut back to a blank or the text's end."""
+    n = 0
+    inside = (lambda n: at - n > 0 and mate - n > 0) if step < 0 else (lambda n: at + n < len(own) and mate + n < len(other))
+    shift = (lambda n: -1 - n) if step < 0 else (lambda n: n)
+    while n < chunks.CONTEXT and inside(n) and own[at + shift(n)] == other[mate + shift(n)]:
+        n += 1
+    while n and 0 <= at + shift(n) < len(own) and own[at + shift(n)] not in b" \t\n\x0b\x0c\r":
+        n -= 1
+    return n
+
+
 def test_query_equals_plain_version(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    data = {i: t.encode() for i, t in texts.items()}
     where: dict[bytes, list] = {}
-    for i in sorted(texts):
-        data = texts[i].encode()
-        cuts = step_by_step_cuts(data)
+    for i in sorted(data):
+        cuts = step_by_step_cuts(data[i])
         for a, b in zip([0, *cuts[:-1]], cuts):
-            where.setdefault(data[a:b], []).append((i, a))
-    chunk_at = {(i, a): (len(c), places[0]) for c, places in where.items() if len(places) > 1 for i, a in places}
+            where.setdefault(data[i][a:b], []).append((i, a))
+    chunk_at = {}
+    for c, places in where.items():
+        first, last = min(places)[0], max(places)[0]
+        if first != last:
+            for i, a in places:
+                mate = last if i == first else first
+                at = [b for d, b in places if d == mate]
+                chunk_at[i, a] = len(c), first, (mate, min(at), max(at))
     want = set()
-    for i in texts:
-        stretch, stretches = [], []
-        for (d, a), (size, owner) in sorted(chunk_at.items()):
+    for i in data:
+        parts = []
+        for (d, a), (size, first, mate) in sorted(chunk_at.items()):
             if d != i:
                 continue
-            if stretch and stretch[-1][0] + stretch[-1][1] != a:
-                stretches.append(stretch)
-                stretch = []
-            stretch.append((a, size, owner))
-        for s in [*stretches, stretch]:
-            if sum(size for _, size, _ in s) < chunks.MIN_RUN_BYTES:
-                continue
-            part = []
-            for c in [*s, None]:
-                if part and (c is None or (c[2] == (i, c[0])) != (part[-1][2] == (i, part[-1][0]))):
-                    owned = part[0][2] == (i, part[0][0])
-                    want.add((i, part[0][0], sum(p[1] for p in part), min(p[2][0] for p in part), len(part), owned))
-                    part = []
-                if c:
-                    part.append(c)
+            owned = first == i
+            here = (a, size, owned, first, mate)
+            if parts and sum(parts[-1][-1][:2]) == a and parts[-1][-1][2] == owned:
+                parts[-1].append(here)
+            else:
+                parts.append([here])
+        for part in parts:
+            start, end = part[0][0], part[-1][0] + part[-1][1]
+            (left_doc, left, _), (right_doc, _, right) = part[0][4], part[-1][4]
+            low = start - plain_growth(data[i], data[left_doc], start, left, -1)
+            high = end + plain_growth(data[i], data[right_doc], end, right + part[-1][1], 1)
+            begins = sum(
+                data[i][k : k + 1].strip() != b"" and (k == 0 or data[i][k - 1 : k].strip() == b"")
+                for k in range(low, high)
+            )
+            if begins >= chunks.MIN_WORDS or high - low >= chunks.MIN_BYTES:
+                want.add((i, low, high - low, min(p[3] for p in part), len(part), part[0][2]))
     rows = queries.QUERIES["op3_substring_dedup"](spark, SF).collect()
     assert {(r.doc_id, r.start, r.size, r.first_doc_id, r.n_chunks, r.owned) for r in rows} == want
-    assert len(rows) == len(want)
+    assert len(rows) == len(want) > 10
 
 
 def test_random_bytes_keep_chunk_sizes():
     data = random.Random(4).randbytes(200_000).replace(b"\x80", b"a")
     sizes = np.diff([0, *chunks.cut_points(data.decode("latin-1").encode())])
-    assert sizes.max() <= chunks.LONGEST + 3 and sizes[:-1].min() > chunks.REACH - 3
+    assert sizes.max() <= chunks.LONGEST + 3 and sizes.min() > 0
+    # Only what is left of a stretch beyond LONGEST may be shorter than the least hashes lie apart.
+    short = np.flatnonzero(sizes[:-1] <= chunks.REACH - 3)
+    assert (sizes[short - 1] >= chunks.LONGEST - 3).all() and len(short) < 0.02 * len(sizes)
