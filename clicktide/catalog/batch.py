@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from clicktide.catalog import register
@@ -16,7 +18,7 @@ from clicktide.catalog.shared_sql import (
     with_,
 )
 from clicktide.functions import scalars as S
-from clicktide.operators import cleaning, ordered, profile, quality, sampling, series, sessions
+from clicktide.operators import cleaning, ordered, profile, quality, sampling, series, sessions, sketches
 from clicktide.plans.behavior import clean_behavior
 from clicktide.session import scratch
 from clicktide.sources import adapters as A
@@ -396,6 +398,37 @@ def unique_visitors(spark, sf):
     return profile.unique_visitors(A.behavior(spark, sf))
 
 
+@register(
+    "visitor_sketches",
+    with_(
+        BEHAVIOR,
+        """, d AS (SELECT *, timestamp // 86400 AS day FROM behavior),
+             r AS (SELECT max(day) AS last FROM d)
+           SELECT behavior_type, count(*) AS rows, count(DISTINCT user_id) AS exact, true AS within
+           FROM d, r WHERE day BETWEEN last - 20 AND last - 3 GROUP BY behavior_type""",
+    ),
+)
+def visitor_sketches(spark, sf):
+    """Unique visitors of a range of days from the sketches, beside the exact count of the log.
+
+    The days are written in two parts, the second of which replaces days of the first."""
+    log = A.behavior(spark, sf).withColumn("_day", sketches.day_of())
+    last = log.agg(F.max("_day")).first()[0]
+    root = scratch(spark, "sketches")
+    days = log.where(F.col("_day") <= F.date_sub(F.lit(last), 10)).drop("_day")
+    sketches.update_days(days, root)
+    sketches.update_days(log.where(F.col("_day") >= F.date_sub(F.lit(last), 12)).drop("_day"), root)
+    first_day, last_day = (str(last - timedelta(days=d)) for d in (20, 3))
+    found = sketches.visitors_between(spark, root, first_day, last_day)
+    exact = (
+        log.where(F.col("_day").between(F.lit(first_day), F.lit(last_day)))
+        .groupBy("behavior_type")
+        .agg(F.count_distinct("user_id").alias("exact"))
+    )
+    off = F.abs(F.col("uv_count") - F.col("exact")) <= sketches.error_bound() * F.col("exact")
+    return found.join(exact, "behavior_type").select("behavior_type", "rows", "exact", off.alias("within"))
+
+
 @register(
     "hourly_activity",
     with_(

@@ -11,7 +11,7 @@ from clicktide.plans.scoring import start_scoring
 from clicktide.session import scratch
 from clicktide.sources import adapters as A
 from clicktide.sources import faulty, paced, readers
-from clicktide.streaming import drift, event_sessions, events, metrics, run, sessions, windows
+from clicktide.streaming import drift, event_sessions, events, fitting, metrics, run, sessions, windows
 from clicktide.streaming.load import LoadBoard
 from clicktide.streaming.load_state import stream_hysteresis
 
@@ -487,3 +487,25 @@ def online_zscore(spark, sf):
     out, _ = run.run_available(drift.drift_report(stream, scaling), "drift", output_mode="complete")
     found = run.last_batch(spark, out)
     return found.withColumns({c: F.round(c, 6) for c in found.columns if c.startswith("z_")})
+
+
+@register(
+    "fitted_in_stream",
+    with_(
+        EVENTS,
+        """, f AS (SELECT item_id, timestamp FROM ev ORDER BY event_id LIMIT 1000),
+m AS (SELECT avg(item_id) AS m1, stddev_pop(item_id) AS s1, avg(timestamp) AS m2, stddev_pop(timestamp) AS s2 FROM f)
+SELECT event_id, round((item_id - m1) / s1, 6) AS z_item_id, round((timestamp - m2) / s2, 6) AS z_timestamp
+FROM ev, m WHERE event_id NOT IN (SELECT event_id FROM ev ORDER BY event_id LIMIT 1000)""",
+    ),
+)
+def fitted_in_stream(spark, sf):
+    """The first 1,000 events of the stream make the scaling, all that follow are scored."""
+    e = A.events(spark, sf).select("event_id", "item_id", "timestamp")
+    source, out, state, checkpoint = (scratch(spark, n) for n in ("numbers", "fitted", "fit-state", "fit-check"))
+    e.write.json(source)
+    stream = spark.readStream.schema(e.schema).json(source)
+    query = fitting.start_fitted(stream, ["item_id", "timestamp"], ["event_id"], out, state, checkpoint)
+    query.awaitTermination()
+    z = {c: F.round(c, 6) for c in ("z_item_id", "z_timestamp")}
+    return run.read_batches(spark, out).select("event_id", *z).withColumns(z)

@@ -67,6 +67,11 @@ def replace_partitions(df: DataFrame, path: str, by: list[str] | None = None) ->
     spark.catalog.refreshByPath(target)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def write_json_lines(df: DataFrame, path: str, mode: str = "append") -> None:
     df.write.mode(mode).json(path)
 
