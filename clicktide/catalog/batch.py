@@ -833,6 +833,24 @@ def overwrite_partitions(spark, sf):
     )
 
 
+@register(
+    "compact_files",
+    with_(
+        BEHAVIOR,
+        """SELECT user_id, item_id, category_id, timestamp, behavior_type, true AS fewer_files FROM behavior""",
+    ),
+)
+def compact_files(spark, sf):
+    """A log in many small files, merged by their sizes."""
+    path = scratch(spark, "small-files")
+    log = A.behavior(spark, sf).repartition(8)
+    versioned.overwrite_partitions(log, path, "behavior_type", rebalance=False)
+    before = sum(map(len, versioned.file_sizes(spark, path).values()))
+    versioned.compact_files(spark, path, 128 << 20)
+    after = sum(map(len, versioned.file_sizes(spark, path).values()))
+    return versioned.read_versioned(spark, path).withColumn("fewer_files", F.lit(after < before))
+
+
 @register(
     "behavior_csv",
     with_(

@@ -1,7 +1,7 @@
 """Partitioned tables whose partitions are replaced by one atomic rename.
 
 Every write goes to a folder of its own, ``version=<name>/<key>=<value>/...``. A manifest lists which
-folder holds each partition, and the table is what the newest manifest lists. A commit writes the next
+folder or files hold each partition, and the table is what the newest manifest lists. A commit writes the next
 manifest under a hidden name and renames it: before that rename readers see the old partitions, after it
 the new ones, and a crash at any step leaves one of the two. Partitions that a write does not touch are
 neither read nor moved. ``vacuum`` removes folders that no kept manifest names. One writer at a time.
@@ -15,6 +15,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clicktide.sources.writers import write_parquet
@@ -39,6 +40,13 @@ class _Files:
             return []
         return sorted(s.getPath().getName() for s in self._fs.listStatus(where))
 
+    def sizes(self, path: str) -> list[tuple[str, int]]:
+        """Data files at a path, which is a file itself or a folder: (path below the root, bytes)."""
+        found = [(s.getPath().getName(), s.getLen()) for s in self._fs.listStatus(self.at(path))]
+        if path.endswith(".parquet"):
+            return [(path, found[0][1])]
+        return [(f"{path}/{n}", size) for n, size in found if not n.startswith(("_", "."))]
+
     def read(self, name: str) -> str:
         stream = self._fs.open(self.at(name))
         try:
@@ -79,7 +87,7 @@ def read_versioned(spark: SparkSession, root: str, version: int | None = None) -
     files = _Files(spark, root)
     manifest = _manifest(files, numbers[-1] if version is None else version)
     schema = T.StructType.fromJson(manifest["schema"])
-    folders = [f"{files.root}/{path}" for path in manifest["partitions"].values()]
+    folders = [f"{files.root}/{path}" for paths in manifest["partitions"].values() for path in paths]
     if not folders:
         return spark.createDataFrame([], schema)
     with_version = T.StructType([*schema.fields, T.StructField("version", T.StringType())])
@@ -87,12 +95,15 @@ def read_versioned(spark: SparkSession, root: str, version: int | None = None) -
     return reader.parquet(*folders).select(*schema.names)
 
 
-def overwrite_partitions(df: DataFrame, root: str, by: str | Sequence[str], **options) -> int:
+def overwrite_partitions(
+    df: DataFrame, root: str, by: str | Sequence[str], rebalance: bool = True, **options
+) -> int:
     """Replace the partitions that ``df`` has rows of, add those that are new, leave all others.
 
     ``df`` may read the table itself. The columns, their types and ``by`` must stay those of the table.
     Returns the number of the version that holds the result; without rows that is the present one, or
-    an empty first version. ``options`` go to ``write_parquet``.
+    an empty first version. Rows are rebalanced on the keys, as in ``writers.write_partitioned``, unless
+    they lie well already. ``options`` go to ``write_parquet``.
     """
     spark, keys = df.sparkSession, [by] if isinstance(by, str) else list(by)
     if "version" in df.columns:
@@ -104,8 +115,8 @@ def overwrite_partitions(df: DataFrame, root: str, by: str | Sequence[str], **op
     if old and (old["schema"] != schema.jsonValue() or old["by"] != keys):
         raise ValueError("columns, types or partition keys differ from the table's")
     folder = f"version={uuid.uuid4().hex}"
-    write_parquet(df.hint("rebalance", *keys), f"{files.root}/{folder}", keys, **options)
-    touched = {p: f"{folder}/{p}" for p in _partitions(files, folder, len(keys))}
+    write_parquet(df.hint("rebalance", *keys) if rebalance else df, f"{files.root}/{folder}", keys, **options)
+    touched = {p: [f"{folder}/{p}"] for p in _partitions(files, folder, len(keys))}
     if old and not touched:
         files.delete(folder)
         return numbers[-1]
@@ -131,6 +142,67 @@ def _commit(files: _Files, number: int, manifest: dict) -> None:
     files.rename(hidden, f"_manifests/{number:010d}.json")
 
 
+def file_sizes(spark: SparkSession, root: str) -> dict[str, list[tuple[str, int]]]:
+    """Per partition of the newest version its files, as (path below the root, bytes)."""
+    files, numbers = _Files(spark, root), versions(spark, root)
+    manifest = _manifest(files, numbers[-1])
+    return {p: [f for path in paths for f in files.sizes(path)] for p, paths in manifest["partitions"].items()}
+
+
+def compact_files(spark: SparkSession, root: str, target_bytes: int, **options) -> int:
+    """Merge files below three quarters of ``target_bytes`` into files of about that size.
+
+    The files of a partition are packed into bins, largest first; a bin of several files becomes one
+    file, written by one task. All other files are neither read nor renamed. The merged files replace the
+    small ones by one commit, like every write; returns the number of the version that holds the
+    result. Only the list of files is worked out on the driver.
+    """
+    files, numbers = _Files(spark, root), versions(spark, root)
+    manifest = _manifest(files, numbers[-1])
+    sizes = file_sizes(spark, root)
+    bins = [
+        (partition, members)
+        for partition, held in sizes.items()
+        for members in pack_bins([f for f in held if f[1] < 0.75 * target_bytes], target_bytes)
+        if len(members) > 1
+    ]
+    if not bins:
+        return numbers[-1]
+    schema = T.StructType.fromJson(manifest["schema"])
+    with_version = T.StructType([*schema.fields, T.StructField("version", T.StringType())])
+    small = [f"{files.root}/{name}" for _, members in bins for name, _ in members]
+    read = spark.read.schema(with_version).option("basePath", files.root).parquet(*small)
+    # Joined by the path below the root; Spark gives whole paths, percent-encoded.
+    names = [(name, i) for i, (_, members) in enumerate(bins) for name, _ in members]
+    of_file = spark.createDataFrame(names, "_file string, _bin int")
+    whole = F.url_decode(F.replace(F.input_file_name(), F.lit("+"), F.lit("%2B")))
+    depth = len(manifest["by"]) + 2
+    file = F.array_join(F.slice(F.split(whole, "/"), -depth, depth), "/")
+    dealt = read.withColumn("_file", file).join(of_file, "_file").repartitionById(len(bins), F.col("_bin"))
+    folder = f"version={uuid.uuid4().hex}"
+    write_parquet(dealt.select(*schema.names), f"{files.root}/{folder}", manifest["by"], **options)
+    gone = {name for _, members in bins for name, _ in members}
+    partitions = dict(manifest["partitions"])
+    for partition in {p for p, _ in bins}:
+        stay = [name for name, _ in sizes[partition] if name not in gone]
+        partitions[partition] = [*stay, *[name for name, _ in files.sizes(f"{folder}/{partition}")]]
+    _commit(files, numbers[-1] + 1, manifest | {"partitions": partitions})
+    return numbers[-1] + 1
+
+
+def pack_bins(sized: list[tuple[str, int]], target: int) -> list[list[tuple[str, int]]]:
+    """First fit of falling sizes: bins of at most ``target`` bytes, but for a larger single file."""
+    bins: list[list] = []
+    for name, size in sorted(sized, key=lambda f: (-f[1], f[0])):
+        place = next((b for b in bins if b[0] + size <= target), None)
+        if place is None:
+            place = [0, []]
+            bins.append(place)
+        place[0] += size
+        place[1].append((name, size))
+    return [b[1] for b in bins]
+
+
 def vacuum(spark: SparkSession, root: str, keep: int = 1) -> int:
     """Remove what the last ``keep`` versions do not need: older manifests, replaced partitions, and
     what crashed writes left. Nothing may be writing. Returns the number of folders removed."""
@@ -138,7 +210,9 @@ def vacuum(spark: SparkSession, root: str, keep: int = 1) -> int:
         raise ValueError("the newest version stays")
     files, numbers = _Files(spark, root), versions(spark, root)
     kept = numbers[-keep:]
-    needed = {path for n in kept for path in _manifest(files, n)["partitions"].values()}
+    held = {path for n in kept for paths in _manifest(files, n)["partitions"].values() for path in paths}
+    # Of a partition some of whose files are needed, the folder stays.
+    needed = {path.rsplit("/", 1)[0] if path.endswith(".parquet") else path for path in held}
     for name in files.names("_manifests"):
         number = _MANIFEST.match(name)
         if not number or int(number.group(1)) not in kept:

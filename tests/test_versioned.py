@@ -128,3 +128,43 @@ def test_edge_cases(spark, root, tmp_path):
     odd = table(spark, [(1, "x", "a=b/c d%", 1), (2, "y", "ü", 1)])
     versioned.overwrite_partitions(odd, f"{tmp_path}/odd", "day")
     assert rows(versioned.read_versioned(spark, f"{tmp_path}/odd").select("id", "text", "day", "kind")) == rows(odd)
+
+
+def test_only_small_files_are_merged(spark, tmp_path):
+    root = f"file://{tmp_path}/t"
+    schema = "id bigint, pad string, day string"
+    pad = F.sha2(F.concat(F.col("id").cast("string"), F.lit("x")), 512)
+    for day, low, high, parts in (("a b", 0, 4000, 1), ("c d+e%/f", 4000, 4600, 6), ("d", 4600, 4700, 1)):
+        rows = spark.range(low, high).select("id", pad.alias("pad"), F.lit(day).alias("day"))
+        versioned.overwrite_partitions(rows.repartition(parts), root, "day", rebalance=False)
+    before = versioned.file_sizes(spark, root)
+    (small,) = (p for p in before if p.startswith("day=c"))
+    assert len(before[small]) >= 2
+    target = max(size for held in before.values() for _, size in held)
+    expected = rows_of(spark, root)
+    number = versioned.compact_files(spark, root, target)
+    after = versioned.file_sizes(spark, root)
+    assert number == 3 and rows_of(spark, root) == expected
+    assert after["day=a b"] == before["day=a b"] and after["day=d"] == before["day=d"]
+    assert len(after[small]) == 1 and after[small][0][1] <= 1.1 * target
+    assert versioned.compact_files(spark, root, target) == 3, "nothing is left to merge"
+    # An overwrite and a vacuum go on from lists of files.
+    assert versioned.vacuum(spark, root) > 0
+    assert rows_of(spark, root) == expected
+    more = spark.createDataFrame([(1, "p", "c d+e%/f")], schema)
+    versioned.overwrite_partitions(more, root, "day")
+    versioned.vacuum(spark, root)
+    assert versioned.read_versioned(spark, root).where("day = 'c d+e%/f'").count() == 1
+    assert versioned.read_versioned(spark, root).count() == 4101
+
+
+def rows_of(spark, root):
+    return sorted(map(tuple, versioned.read_versioned(spark, root).collect()))
+
+
+def test_bins():
+    sized = [(f"f{i}", s) for i, s in enumerate([5, 9, 3, 3, 2, 8, 30])]
+    bins = versioned.pack_bins(sized, 10)
+    assert sorted(n for b in bins for n, _ in b) == sorted(n for n, _ in sized)
+    assert all(sum(s for _, s in b) <= 10 or len(b) == 1 for b in bins) and len(bins) <= 5
+    assert versioned.pack_bins([], 10) == []
