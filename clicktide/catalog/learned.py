@@ -176,18 +176,18 @@ _LABELLED = """SELECT event_id, CAST(behavior_type = 'buy' AS INTEGER) AS label,
 
 @register("buy_model_scores", with_(BEHAVIOR, _LABELLED))
 def buy_model_scores(spark, sf):
-    """Scores of every event, checked row by row, and whether the fit is at its optimum: there the
-    weighted residuals add up to zero, for the intercept is not penalised."""
+    """Scores of every event, checked row by row, and whether the fit is at its optimum: there every
+    part of the penalised loss's gradient is nearly zero."""
     rows = feature_rows(spark, sf)
     weighted, n = buy_model.balanced_weights(rows)
-    scored = materialize(buy_model.score(buy_model.train_buy_model(rows), weighted), "buy-scores")
-    residual = scored.agg(F.sum(F.col("weight") * (F.col("p") - F.col("label"))) / n).first()[0]
-    return scored.select(
+    model = buy_model.train_buy_model(rows)
+    slope = buy_model.steepest_slope(model, weighted, n)
+    return buy_model.score(model, rows).select(
         "event_id",
         "label",
         F.col("p").between(0, 1).alias("p_in_range"),
         (F.col("prediction") == (F.col("p") >= 0.5).cast("double")).alias("label_follows_p"),
-        F.lit(abs(residual) < 1e-3).alias("at_the_optimum"),
+        F.lit(slope < 1e-4).alias("at_the_optimum"),
     )
 
 

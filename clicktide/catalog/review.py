@@ -65,6 +65,18 @@ def sentiment_pivot(spark, sf):
     return reviews.sentiment_pivot(labelled(spark, sf).withColumn("sentiment", marked))
 
 
+@register(
+    "sentiment_counts",
+    with_(
+        REVIEWS,
+        """SELECT cat AS category, sentiment, count(*) AS count FROM reviews
+           WHERE sentiment IS NOT NULL AND regexp_matches(review, 'tion', 'i') GROUP BY cat, sentiment""",
+    ),
+)
+def sentiment_counts(spark, sf):
+    return reviews.sentiment_counts(labelled(spark, sf), query="TION")
+
+
 @register(
     "review_page",
     with_(

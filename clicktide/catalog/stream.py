@@ -86,18 +86,6 @@ r AS (SELECT *, CASE WHEN kind = 0 AND fld = 0 THEN 'missing user_id'
 )
 
 
-@register(
-    "inject_faults",
-    with_(
-        _FAULTY,
-        """SELECT event_id, CASE kind WHEN 0 THEN 'drop_field' WHEN 1 THEN 'wrong_type'
-                  WHEN 2 THEN 'bad_timestamp' WHEN 3 THEN 'non_dict' END AS fault FROM r""",
-    ),
-)
-def inject_faults(spark, sf):
-    return faulty.inject_faults(stream_events(spark, sf), "event_id", RATE).drop("value")
-
-
 @register(
     "parse_events",
     with_(

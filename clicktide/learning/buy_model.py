@@ -75,6 +75,24 @@ def score(model: PipelineModel, features: DataFrame) -> DataFrame:
     return scored.select(*features.columns, "prediction", vector_to_array("probability")[1].alias("p"))
 
 
+def steepest_slope(model: PipelineModel, weighted: DataFrame, n: int) -> float:
+    """Largest part, in size, of the penalised mean loss's gradient; zero at its minimum.
+
+    The gradient is added up from every row's residual, so it judges the fit by its data alone."""
+    logistic = model.stages[-1]
+    scored = model.transform(weighted)
+    residual = F.col("weight") * (vector_to_array("probability")[1] - F.col("label"))
+    parts = (
+        scored.select(residual.alias("r"), F.posexplode(vector_to_array("features")).alias("j", "x"))
+        .groupBy("j")
+        .agg((F.sum(F.col("r") * F.col("x")) / n).alias("slope"))
+        .collect()
+    )  # one per coefficient
+    intercept = scored.agg(F.sum(residual) / n).first()[0]
+    penalised = [r.slope + logistic.getRegParam() * logistic.coefficients[r.j] for r in parts]
+    return max(map(abs, [intercept, *penalised]))
+
+
 def cross_validate(
     features: DataFrame, id_col: str, folds: int = 5, max_iter: int = 500, parallelism: int = 5
 ) -> DataFrame:

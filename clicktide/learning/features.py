@@ -49,12 +49,18 @@ def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
-    """Most frequent non-null value per column, the smallest of equals."""
-    found = {}
+    """Most frequent non-null value per column, the smallest of equals.
+
+    Columns of one type are counted in one job, as pairs of column and value."""
+    found: dict = dict.fromkeys(columns)
+    by_type: dict[str, list[str]] = {}
     for c in columns:
-        counts = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
-        top = counts.orderBy(F.desc("_n"), c).first()
-        found[c] = top[0] if top else None
+        by_type.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
+    for names in by_type.values():
+        pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in names])).alias("p"))
+        counts = pairs.where("p.v IS NOT NULL").groupBy("p.c", "p.v").agg(F.count(F.lit(1)).alias("n"))
+        best = counts.groupBy("c").agg(F.min(F.struct((-F.col("n")).alias("n"), "v")).alias("best"))
+        found |= {r.c: r.best.v for r in best.collect()}  # a row per column
     return found
 
 

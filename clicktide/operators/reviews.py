@@ -68,22 +68,33 @@ def category_distribution(df: DataFrame, sentiment: str | None = None) -> DataFr
     )
 
 
+def sentiment_counts(df: DataFrame, cat: str | None = None, query: str | None = None) -> DataFrame:
+    """(category, sentiment, count) of the reviews; any number of sentiments, as a text model may give."""
+    picked = optional_filters(df, cat=cat, query=query).where(F.col("sentiment").isNotNull())
+    return picked.groupBy(F.col("cat").alias("category"), "sentiment").agg(F.count(F.lit(1)).alias("count"))
+
+
 def sentiment_pivot(
     df: DataFrame,
     cat: str | None = None,
     query: str | None = None,
     values: Sequence[str] = SENTIMENTS,
+    max_others: int = 100,
 ) -> DataFrame:
     """Reviews per category and sentiment, 0 where there are none.
 
-    Every sentiment found gets a column, after those of ``values``, which are always there. A
-    pivot has one column per value, so the other values are as few as its columns.
+    Every sentiment found gets a column, after those of ``values``, which are always there. More than
+    ``max_others`` further ones are no columns of a table: that raises, and ``sentiment_counts``
+    has them as rows.
     """
-    picked = optional_filters(df, cat=cat, query=query).where(F.col("sentiment").isNotNull())
-    others = picked.where(~F.col("sentiment").isin(*values)).select("sentiment").distinct()
-    names = [*values, *sorted(r[0] for r in others.collect())]
-    counts = picked.groupBy(F.col("cat").alias("category")).pivot("sentiment", names)
-    return counts.agg(F.count(F.lit(1))).fillna(0, subset=names)
+    counts = sentiment_counts(df, cat, query)
+    others = counts.where(~F.col("sentiment").isin(*values)).select("sentiment").distinct()
+    found = [r[0] for r in others.limit(max_others + 1).collect()]
+    if len(found) > max_others:
+        raise ValueError(f"more than {max_others} sentiments besides {list(values)}: use sentiment_counts")
+    names = [*values, *sorted(found)]
+    pivoted = counts.groupBy("category").pivot("sentiment", names)
+    return pivoted.agg(F.sum("count")).fillna(0, subset=names)
 
 
 def review_page(

@@ -118,3 +118,30 @@ def test_attributions_and_trees(spark):
     moved = ablation.permuted(df, "id", "sentiment")
     assert moved.count() == 150
     assert sorted(r[0] for r in moved.select("sentiment").collect()) == sorted(r[2] for r in rows)
+
+
+def test_modes_of_several_types(spark):
+    rows = [("b", 3, None), ("a", 1, None), ("a", 1, None), ("b", 2, None), (None, None, None)]
+    df = spark.createDataFrame(rows, "s string, i int, n string")
+    assert features.modes(df, ["s", "i", "n"]) == {"s": "a", "i": 1, "n": None}
+    assert features.modes(df.limit(0), ["s"]) == {"s": None}
+
+
+def test_a_shifted_slope_is_no_optimum(spark):
+    rng = random.Random(1)
+    rows = [(rng.gauss(0, 1), rng.random()) for _ in range(400)]
+    df = spark.createDataFrame([(a, float(b < 1 / (1 + 2.7 ** -a))) for a, b in rows], "x double, label double")
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+
+    weighted, n = buy_model.balanced_weights(df)
+    slopes = []
+    for strength in (1.0 / n, 0.2):
+        stages = [VectorAssembler(inputCols=["x"], outputCol="features"),
+                  LogisticRegression(weightCol="weight", regParam=strength, standardization=False)]
+        model = Pipeline(stages=stages).fit(weighted)
+        if strength == 0.2:
+            model.stages[-1].set(model.stages[-1].regParam, 1.0 / n)
+        slopes.append(buy_model.steepest_slope(model, weighted, n))
+    assert slopes[0] < 1e-4 < 0.01 < slopes[1]

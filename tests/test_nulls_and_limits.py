@@ -18,6 +18,11 @@ def test_pivot_keeps_every_sentiment(spark):
     rows = [("a", "正面"), ("a", extraction.FALLBACK), ("b", extraction.FALLBACK), ("b", None)]
     found = reviews.sentiment_pivot(spark.createDataFrame(rows, "cat string, sentiment string"))
     assert found.columns == ["category", "正面", "负面", "中性", extraction.FALLBACK]
+    many = spark.createDataFrame([("a", f"s{i}") for i in range(5)] * 2, "cat string, sentiment string")
+    with pytest.raises(ValueError, match="sentiment_counts"):
+        reviews.sentiment_pivot(many, max_others=4)
+    assert len(reviews.sentiment_pivot(many, max_others=5).columns) == 9
+    assert {tuple(r) for r in reviews.sentiment_counts(many).collect()} == {("a", f"s{i}", 2) for i in range(5)}
     assert sorted(map(tuple, found.collect())) == [("a", 1, 0, 0, 1), ("b", 0, 0, 0, 1)]
 
 
