@@ -1,12 +1,11 @@
 """Tool-call linking: calls meet their results by identifier, in topological order, as canonical JSON.
 
-Everything is DataFrame code. Calls and results are joined on the call's identifier. Every call may
-name a parent, the call whose result it follows; its level is the number of ancestors, found by
+Everything is DataFrame code. Calls and results of a conversation are joined on the call's identifier;
+the same identifier in another conversation is another call. Every call may name a parent, the call whose result it follows; its level is the number of ancestors, found by
 pointer doubling, so a chain of n calls takes log2(n) joins. (level, call before result, turn, id)
 then orders a conversation topologically, without bringing it together anywhere. Arguments are
 checked against the schema of the call's tool, and every message is one line of canonical JSON: keys
-sorted, no blanks, numbers in their shortest form. Arguments that repeat a key, or are longer than
-a variant may be, count as no JSON.
+sorted, no blanks, numbers in their shortest form. Arguments that repeat a key count as no JSON.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 
 from clicktide.llm.common import delete_path
 from clicktide.operators.ordered import join_per_key
-from clicktide.session import scratch
+from clicktide.session import materialize, scratch
 
 #: JSON Schema types and what ``schema_of_variant`` calls such values.
 _TYPES = {
@@ -35,45 +34,90 @@ def canonical_json(text: str) -> Column:
     return F.to_json(F.try_parse_json(F.col(text)))
 
 
-def _key(name: str) -> str:
+#: Texts from this size on may not fit a variant.
+_LARGE = 16 << 20
+#: What of JSON Schema is checked; a schema with anything else is refused.
+_OBJECT_WORDS = {"type", "properties", "required", "additionalProperties"}
+_VALUE_WORDS = _OBJECT_WORDS | {"minimum", "maximum", "minLength", "maxLength", "enum", "items", "description"}
+
+
+def _step(name: str) -> str:
     if "'" in name or "[" in name:
         raise ValueError(f"no quotes or brackets in names of properties: {name}")
-    return f"$['{name}']"
+    return f"['{name}']"
 
 
-def _problems(arguments: Column, keys: Column, schema: dict) -> Column:
-    """Array of what is wrong with the arguments of one tool, in the schema's order."""
+def _known_words(schema: dict, words: set[str], where: str) -> None:
+    if unknown := set(schema) - words:
+        raise ValueError(f"no check for {sorted(unknown)} of {where or 'the arguments'}")
+
+
+def _type_pattern(rule: dict) -> str:
+    return "^(" + "|".join(_TYPES[t] for t in _as_list(rule.get("type", list(_TYPES)))) + ")$"
+
+
+def _object_problems(root: Column, keys: Column, schema: dict, path: str, where: str) -> list[Column]:
+    """What is wrong with the members of an object, each null where nothing is; ``keys`` are the object's
+    own, ``path`` leads to it from ``root``, and ``where`` names it."""
     found = []
-    required = schema.get("required", [])
-    for name, rule in schema.get("properties", {}).items():
-        value = F.try_variant_get(arguments, _key(name), "variant")
+    required, properties = schema.get("required", []), schema.get("properties", {})
+    for name in [*properties, *[r for r in required if r not in properties]]:
         there = F.array_contains(keys, name)
         if name in required:
-            found.append(F.when(~there, F.lit(f"missing {name}")))
-        kind = F.schema_of_variant(value)
-        pattern = "|".join(_TYPES[t] for t in _as_list(rule.get("type", list(_TYPES))))
-        good_type = kind.rlike(f"^({pattern})$")
-        found.append(F.when(there & ~good_type, F.lit(f"type of {name}")))
-        number = F.try_variant_get(arguments, _key(name), "double")
-        size = F.char_length(F.try_variant_get(arguments, _key(name), "string"))
-        limits = {
-            "minimum": number < rule.get("minimum", 0),
-            "maximum": number > rule.get("maximum", 0),
-            "minLength": size < rule.get("minLength", 0),
-            "maxLength": size > rule.get("maxLength", 0),
-        }
-        for limit, broken in limits.items():
-            if limit in rule:
-                is_kind = kind == "STRING" if "Length" in limit else kind != "STRING"
-                found.append(F.when(there & good_type & is_kind & broken, F.lit(f"{limit} of {name}")))
-        if "enum" in rule:
-            text = F.try_variant_get(arguments, _key(name), "string")
-            allowed = [str(v) for v in rule["enum"]]
-            found.append(F.when(there & good_type & ~text.isin(allowed), F.lit(f"enum of {name}")))
+            found.append(F.when(~there, F.lit(f"missing {where}{name}")))
+        if name in properties:
+            found += _value_problems(root, there, properties[name], path + _step(name), where + name)
     if schema.get("additionalProperties") is False:
-        known = list(schema.get("properties", {}))
-        unknown = F.array_except(keys, F.array(*map(F.lit, known)).cast("array<string>"))
-        found.append(F.when(F.size(unknown) > 0, F.lit("unknown property")))
+        unknown = F.array_except(keys, F.array(*map(F.lit, properties)).cast("array<string>"))
+        of = f" of {where[:-1]}" if where else ""
+        found.append(F.when(F.size(unknown) > 0, F.lit(f"unknown property{of}")))
+    elif schema.get("additionalProperties", True) is not True:
+        raise ValueError("additionalProperties is true or false")
+    return found
+
+
+def _value_problems(root: Column, there: Column, rule: dict, path: str, name: str) -> list[Column]:
+    _known_words(rule, _VALUE_WORDS, name)
+    found = []
+    value = F.try_variant_get(root, path, "variant")
+    kind = F.schema_of_variant(value)
+    good_type = kind.rlike(_type_pattern(rule))
+    found.append(F.when(there & ~good_type, F.lit(f"type of {name}")))
+    number = F.try_variant_get(root, path, "double")
+    size = F.char_length(F.try_variant_get(root, path, "string"))
+    limits = {
+        "minimum": number < rule.get("minimum", 0),
+        "maximum": number > rule.get("maximum", 0),
+        "minLength": size < rule.get("minLength", 0),
+        "maxLength": size > rule.get("maxLength", 0),
+    }
+    for limit, broken in limits.items():
+        if limit in rule:
+            is_kind = kind == "STRING" if "Length" in limit else kind != "STRING"
+            found.append(F.when(there & good_type & is_kind & broken, F.lit(f"{limit} of {name}")))
+    if "enum" in rule:
+        text = F.try_variant_get(root, path, "string")
+        allowed = [str(v) for v in rule["enum"]]
+        found.append(F.when(there & good_type & ~text.isin(allowed), F.lit(f"enum of {name}")))
+    if "items" in rule:
+        _known_words(rule["items"], {"type", "description"}, f"items of {name}")
+        items = F.try_variant_get(root, path, "array<variant>")
+        pattern = _type_pattern(rule["items"])
+        # A null item is null here as well.
+        bad = F.exists(items, lambda v: ~F.coalesce(F.schema_of_variant(v), F.lit("VOID")).rlike(pattern))
+        found.append(F.when(there & kind.startswith("ARRAY<") & bad, F.lit(f"items of {name}")))
+    if _OBJECT_WORDS & set(rule) - {"type"}:
+        is_object = there & kind.startswith("OBJECT<")
+        keys = F.json_object_keys(F.to_json(value))
+        inner = _object_problems(root, keys, rule, path, f"{name}.")
+        found += [F.when(is_object, problem) for problem in inner]
+    return found
+
+
+def _problems(arguments: Column, keys: Column, schema: dict) -> Column:
+    """Array of what is wrong with the arguments of one tool, in the schema's order."""
+    _known_words(schema, _OBJECT_WORDS | {"description"}, "")
+    found = _object_problems(arguments, keys, schema, "$", "")
     return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
 
 
@@ -82,14 +126,23 @@ def _as_list(types: str | list[str]) -> list[str]:
 
 
 def argument_problems(tool: str, arguments: str, schemas: dict[str, dict]) -> Column:
-    """What is wrong with the arguments of a call, by the schema of its tool; empty if nothing."""
+    """What is wrong with the arguments of a call, by the schema of its tool; empty if nothing.
+
+    Members of objects are named by their path (``a.b``). Of arrays the type of the items is checked. A
+    schema with other words of JSON Schema raises. Arguments too large to be parsed are reported so.
+    """
     parsed, text = F.try_parse_json(F.col(arguments)), F.col(arguments)
     keys = F.json_object_keys(text)
     is_object = parsed.isNotNull() & F.schema_of_variant(parsed).startswith("OBJECT<")
     result = F.array(F.lit("unknown tool"))
     for name, schema in schemas.items():
         result = F.when(F.col(tool) == name, _problems(parsed, keys, schema)).otherwise(result)
-    return F.when(is_object, result).otherwise(F.array(F.lit("arguments are no object")))
+    too_large = parsed.isNull() & (F.octet_length(text) >= _LARGE) & keys.isNotNull()
+    return (
+        F.when(is_object, result)
+        .when(too_large, F.array(F.lit("arguments too large")))
+        .otherwise(F.array(F.lit("arguments are no object")))
+    )
 
 
 def call_levels(calls: DataFrame) -> DataFrame:
@@ -137,31 +190,44 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
     """One row per message: conv_id, level, is_result, turn, call_id, status, problems, json.
 
     ``calls``: conv_id, turn, call_id, parent_id, tool, arguments (JSON text). ``results``: conv_id,
-    turn, call_id, content. Status of a call: "answered", "unanswered", "duplicate" (an id seen
-    before, by turn, tool, arguments and parent), "no id"; of a result: "linked", "orphan" (no such call),
-    "no id". Every row gives a message. Results and duplicates have the level of their call, orphans
-    none. Arguments that are no JSON stay as text in the canonical line. Other columns are ignored.
+    turn, call_id, content. Ids count within their conversation; rows without a conv_id make one of
+    their own. Status of a call: "answered", "unanswered", "duplicate" (an id seen before, by turn,
+    tool, arguments and parent; of equal rows all but one), "no id"; of a result: "linked", "orphan" (no
+    such call), "no id". Every row gives a message. Results and duplicates have the level of their
+    call, orphans none. Arguments that are no JSON stay as text in the canonical line. Other columns
+    are ignored.
     """
-    named = calls.select("conv_id", "turn", "call_id", "parent_id", "tool", "arguments").withColumn(
-        "_order", F.struct("turn", "tool", "arguments", "parent_id", "conv_id")
-    )
+    # Written first: a number tells equal rows apart, and must stay when a lost task runs again.
+    named = materialize(
+        calls.select("conv_id", "turn", "call_id", "parent_id", "tool", "arguments").withColumns(
+            {
+                "_key": _in_conversation("call_id"),
+                "_parent": _in_conversation("parent_id"),
+                "_row": F.monotonically_increasing_id(),
+            }
+        ),
+        "calls",
+    ).withColumn("_order", F.struct("turn", "tool", "arguments", "parent_id", "_row"))
     # The first call of each id; its copies are told apart by what orders them.
     firsts = (
-        named.where("call_id IS NOT NULL")
-        .groupBy("call_id")
-        .agg(F.min("_order").alias("_first"))
-        .select("call_id", "_first", F.col("_first.parent_id").alias("parent_id"))
+        named.where("_key IS NOT NULL")
+        .groupBy("_key")
+        .agg(F.min(F.struct("_order", "_parent")).alias("_f"))
+        .select("_key", F.col("_f._order._row").alias("_first"), F.col("_f._parent").alias("_parent"))
     )
-    levels = call_levels(firsts.select("call_id", "parent_id"))
-    first = firsts.select("call_id", "_first").join(levels, "call_id")
-    answers = results.where("call_id IS NOT NULL").groupBy("call_id").agg(F.count(F.lit(1)).alias("_answers"))
-    per_call = first.join(answers, "call_id", "left")
+    levels = call_levels(
+        firsts.select(F.col("_key").alias("call_id"), F.col("_parent").alias("parent_id"))
+    ).withColumnRenamed("call_id", "_key")
+    first = firsts.select("_key", "_first").join(levels, "_key")
+    keyed = results.select("conv_id", "turn", "call_id", "content").withColumn("_key", _in_conversation("call_id"))
+    answers = keyed.where("_key IS NOT NULL").groupBy("_key").agg(F.count(F.lit(1)).alias("_answers"))
+    per_call = first.join(answers, "_key", "left")
     from_calls = (
-        join_per_key(named, per_call, ["call_id"], "left")
+        join_per_key(named, per_call, ["_key"], "left")
         .withColumn(
             "status",
             F.when(F.col("call_id").isNull(), "no id")
-            .when(~F.col("_order").eqNullSafe(F.col("_first")), "duplicate")
+            .when(F.col("_row") != F.col("_first"), "duplicate")
             .when(F.col("_answers").isNull(), "unanswered")
             .otherwise("answered"),
         )
@@ -182,9 +248,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
             ).alias("json"),
         )
     )
-    from_results = join_per_key(
-        results.select("conv_id", "turn", "call_id", "content"), levels.withColumn("_call", F.lit(True)), ["call_id"], "left"
-    ).select(
+    from_results = join_per_key(keyed, levels.withColumn("_call", F.lit(True)), ["_key"], "left").select(
         "conv_id",
         "level",
         F.lit(True).alias("is_result"),
@@ -197,6 +261,11 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
     return from_calls.unionByName(from_results)
 
 
+def _in_conversation(call_id: str) -> Column:
+    """Key of a call: its id within its conversation; null for a null id."""
+    return F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit("")), F.lit(":"), F.col(call_id))
+
+
 def _quoted(col: str) -> Column:
     """A text as JSON string, null as the JSON null."""
     text = F.to_json(F.struct(F.col(col).cast("string").alias("x")))

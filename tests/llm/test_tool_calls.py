@@ -77,6 +77,75 @@ def test_links_levels_and_statuses(spark):
     assert run(spark, [], []) == []
 
 
+def test_ids_count_within_their_conversation(spark):
+    ok = '{"a":1,"op":"+"}'
+    calls = [(1, 0, "c", None, "add", ok), (2, 5, "c", None, "add", ok), (2, 7, "e", "c", "add", ok),
+             (None, 0, "c", None, "add", ok), (3, 0, "f", "c", "add", ok)]
+    results = [(2, 6, "c", "two"), (3, 1, "c", "none"), (None, 1, "c", "null")]
+    rows = run(spark, calls, results)
+    status = {(r.conv_id, r.turn): (r.status, r.level) for r in rows}
+    assert status == {(1, 0): ("unanswered", 0), (2, 5): ("answered", 0), (2, 7): ("unanswered", 1),
+                      (None, 0): ("answered", 0), (3, 0): ("unanswered", 0), (2, 6): ("linked", 0),
+                      (3, 1): ("orphan", None), (None, 1): ("linked", 0)}
+
+
+def test_equal_calls_are_one_call_and_its_duplicates(spark):
+    call = (1, 0, "c", None, "add", '{"a":1,"op":"+"}')
+    rows = run(spark, [call] * 5 + [(1, 0, None, None, "add", "{}")] * 2, [(1, 1, "c", "r")] * 3)
+    assert sorted(r.status for r in rows) == ["answered"] + ["duplicate"] * 4 + ["linked"] * 3 + ["no id"] * 2
+
+
+NESTED = {
+    "find": {
+        "properties": {
+            "where": {
+                "type": "object",
+                "properties": {
+                    "city": {"type": "string", "minLength": 2},
+                    "box": {"type": "object", "required": ["x"], "properties": {"x": {"type": "integer"}}},
+                },
+                "required": ["city"],
+                "additionalProperties": False,
+            },
+            "tags": {"type": "array", "items": {"type": ["string", "null"]}},
+        },
+        "required": ["where", "who"],
+    }
+}
+
+
+@pytest.mark.parametrize(
+    ("arguments", "problems"),
+    [
+        ('{"where":{"city":"Rome","box":{"x":1}},"who":1,"tags":["a",null]}', []),
+        ('{"where":{"city":"R","box":{}},"who":1}', ["minLength of where.city", "missing where.box.x"]),
+        ('{"where":{"box":{"x":"1"},"zip":1},"tags":["a",1],"who":null}',
+         ["missing where.city", "type of where.box.x", "unknown property of where", "items of tags"]),
+        ('{"where":[],"tags":{}}', ["type of where", "type of tags", "missing who"]),
+        ('{"where":{"city":"Rome","box":3},"who":1,"tags":[]}', ["type of where.box"]),
+    ],
+)
+def test_nested_schemas(spark, arguments, problems):
+    calls = spark.createDataFrame([(1, 0, "c", None, "find", arguments, 77)], CALLS)
+    results = spark.createDataFrame([], RESULTS)
+    (row,) = tool_calls.link(calls, results, NESTED).collect()
+    assert row.problems == problems
+
+
+def test_schemas_with_other_words_are_refused(spark):
+    for schema in ({"oneOf": []}, {"properties": {"a": {"pattern": "x"}}}, {"properties": {"a": {"items": {"enum": [1]}}}},
+                   {"additionalProperties": {"type": "string"}}):
+        with pytest.raises(ValueError):
+            tool_calls.argument_problems("tool", "arguments", {"t": schema})
+
+
+def test_large_arguments_are_named(spark):
+    text = '{"a":1,"op":"' + "+" * (17 << 20) + '"}'
+    calls = spark.createDataFrame([(1, 0, "c", None, "add", text, 77)], CALLS)
+    (row,) = tool_calls.link(calls, spark.createDataFrame([], RESULTS), SCHEMAS).select("problems").collect()
+    assert row.problems in (["arguments too large"], ["enum of op"])  # as much as a variant may hold
+
+
 def test_a_long_chain(spark):
     n = 700
     calls = [(1, i, f"c{i}", f"c{i - 1}", "add", "{}") for i in range(n)]
