@@ -22,11 +22,13 @@ SUB_CATEGORY_KEYWORDS = {
 }
 
 # Words left out of word counts.
-STOPWORDS = frozenset(
-    "的 了 是 我 不 在 也 就 都 有 和 很 要 会 这 那 还 没 一 个 用 好 看 上 下 去 来 说 到 着 "
-    "你 他 她 它 们 吗 啊 吧 呢 哦 买 太 让 给 被 把 对 从 能 可以 这个 那个 什么 怎么 为什么 因为 所以 "
-    "为了 但是 而且 如果 虽然 不过 还是 觉得 知道 应该 已经 真的 比较 非常".split()
-)
+STOPWORDS = frozenset([
+    "的", "了", "是", "我", "不", "在", "也", "就", "都", "有", "和", "很", "要", "会", "这", "那", "还",
+    "没", "一", "个", "用", "好", "看", "上", "下", "去", "来", "说", "到", "着", "你", "他", "她", "它",
+    "们", "吗", "啊", "吧", "呢", "哦", "买", "太", "让", "给", "被", "把", "对", "从", "能", "可以",
+    "这个", "那个", "什么", "怎么", "为什么", "因为", "所以", "为了", "但是", "而且", "如果", "虽然", "不过", "还是",
+    "觉得", "知道", "应该", "已经", "真的", "比较", "非常",
+])
 
 # A token of only these characters is punctuation.
 PUNCTUATION = "，。！？、；：'（）【】 "

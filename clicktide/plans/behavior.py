@@ -67,6 +67,9 @@ def clean_behavior(
 ) -> DataFrame:
     """Drop invalid times, copies, bot-like users and implausible buyers; number sessions.
 
+    Rows without a user are dropped, and with ``per_behavior`` those without a behaviour: neither has
+    a session.
+
     The three user rules all follow from one small table with a row per user and time slot:
     its views and purchases add up to the user's totals, its first and last time to sessions.
     So the rows themselves are shuffled twice only: once to merge copies (after a map-side
