@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,15 +33,18 @@ def stream_hysteresis(
     boolean, is kept for good.
     """
 
-    def step(key, state, row):
-        active, value = bool(state and state[0]), row[load]
-        if value is not None and value >= high:
-            active = True
-        elif value is not None and value <= low:
-            active = False
-        return (active,), (active,)
+    def step(rows, starts, states):
+        value = rows[load].cast("double").to_numpy()
+        signal = np.where(value >= high, 1, np.where(value <= low, 0, -1))
+        before = np.repeat([bool(s) for s in states], np.diff(starts, append=rows.num_rows))
+        # The place of the last signal, if it is one of the same series.
+        last = np.maximum.accumulate(np.where(signal >= 0, np.arange(rows.num_rows), -1))
+        own = last >= np.repeat(starts, np.diff(starts, append=rows.num_rows))
+        active = np.where(own, signal[last] == 1, before)
+        ends = np.append(starts[1:], rows.num_rows) - 1
+        return active[ends].tolist(), [pa.array(active)]
 
     watched = samples.where(F.col(time).isNotNull()).withWatermark(time, lateness)
     columns = [load, *[c for c in order if c not in ("ms", load)]]
     added = T.StructType([T.StructField(out, T.BooleanType())])
-    return in_time_order(watched, series, time, columns, order, added, "active boolean", step, None)
+    return in_time_order(watched, series, time, columns, order, added, step, None)

@@ -3,12 +3,17 @@
 import json
 import random
 from datetime import UTC, datetime, timedelta
+from types import SimpleNamespace
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
+from pyspark.sql import types as T
 
 from clicktide.session import scratch
 from clicktide.sources import readers
-from clicktide.streaming import event_sessions, run, windows
+from clicktide.streaming import event_sessions, ordered_state, run, windows
 
 START = datetime(2024, 3, 1, tzinfo=UTC)
 FAR = {"event_time": "2100-01-01 00:00:00.000", "behavior_type": "view"}
@@ -89,3 +94,77 @@ def test_odd_rows(spark):
     found, progress = stream(spark, [[line(e) for e in events] + odd, [line(after)], [line(late)], [json.dumps(FAR)]])
     assert found == plain([*events, after])
     assert sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in progress) == 1
+
+
+def test_users_share_groups_of_state(spark):
+    """The work of a batch is that of its buckets, not of its users."""
+    events = made_events(3, users=60, each=4)
+    path, out, state = (scratch(spark, n) for n in ("event-lines", "event-out", "event-state"))
+    spark.createDataFrame([(line(e),) for e in events], "value string").coalesce(1).write.text(path)
+    timed = windows.timed_events(readers.read_event_stream(spark, path, 1), ["item_id"])
+    plan = event_sessions.event_sessions(
+        timed, ["item_id"], ("ms", "behavior_type", "item_id"), TIMEOUT, buckets=3
+    )
+    with run.rocksdb_state(spark):
+        query = run.start(plan, out, state)
+    query.awaitTermination()
+    assert query.recentProgress[0]["stateOperators"][0]["customMetrics"]["numRegisteredTimers"] <= 3
+
+
+class Handle:
+    """State of one key in memory."""
+
+    def __init__(self):
+        self.value, self.map, self.timers = {}, {}, set()
+        self.registerTimer, self.deleteTimer = self.timers.add, self.timers.discard
+
+    def getMapState(self, name, *_):
+        m = self.map
+        return SimpleNamespace(updateValue=m.__setitem__, getValue=m.__getitem__, removeKey=m.pop)
+
+    def getValueState(self, name, *_):
+        v = self.value
+        return SimpleNamespace(
+            exists=lambda: name in v, get=lambda: v[name], update=lambda x: v.__setitem__(name, x),
+            clear=lambda: v.pop(name, None),
+        )
+
+
+def test_a_timer_holds_only_pieces_that_overlap(monkeypatch):
+    monkeypatch.setattr(ordered_state, "SORTED_ROWS", 40)
+    monkeypatch.setattr(ordered_state, "PIECE_ROWS", 5)
+    waiting = T.StructType().add("k", "string").add("ms", "long").add("v", "long")
+    taken = []
+
+    def step(rows, starts, states):
+        taken.append(rows.num_rows)
+        sums, total = [], dict(enumerate(s or 0 for s in states))
+        group = np.repeat(np.arange(len(starts)), np.diff(starts, append=rows.num_rows))
+        for g, v in zip(group.tolist(), rows["v"].to_pylist()):
+            total[g] += v
+            sums.append(total[g])
+        return list(total.values()), [pa.array(sums)]
+
+    out = T.StructType([*waiting.fields, T.StructField("sum", T.LongType())])
+    made, handle = ordered_state.InTimeOrder(["k"], waiting, out, ["ms", "v"], step, None), Handle()
+    made.init(handle)
+    rng, found, sums = random.Random(2), [], {}
+    rows = [(rng.choice(["a", "b", None]), rng.randrange(5000), i) for i in range(1000)]
+    for part in (rows[:700], rows[700:]):
+        low = 0 if part[0] is rows[0] else 2500
+        frames = [pd.DataFrame(part[i : i + 9], columns=["k", "ms", "v"]) for i in range(0, len(part), 9)]
+        late = [r for r in part if r[1] < low]
+        frames = [f[f["ms"] >= low] for f in frames]
+        list(made.handleInputRows(None, iter(frames), None))
+        rows = [r for r in rows if r not in late]
+        now = 2499 if low == 0 else 9999
+        assert len(handle.timers) == 1
+        handle.timers.clear()
+        for frame in made.handleExpiredTimer(None, SimpleNamespace(getCurrentWatermarkInMs=lambda: now), None):
+            found += [tuple(None if v is pd.NA else v for v in r) for r in frame.itertuples(index=False)]
+    expected = []
+    for k, ms, v in sorted(rows, key=lambda r: (r[1], r[2])):
+        sums[k] = sums.get(k, 0) + v
+        expected.append((k, ms, v, sums[k]))
+    assert sorted(found, key=str) == sorted(expected, key=str)
+    assert not handle.map and max(taken) < 200
