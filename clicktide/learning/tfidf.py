@@ -23,6 +23,8 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clicktide.session import small_batches
+
 
 def tidy_text(text: Column) -> Column:
     """Lower-cased text; a run of two or more white spaces counts as one space."""
@@ -37,7 +39,8 @@ def _count_characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
     """Uses and documents of every character of a task, and its number of documents."""
     uses, documents, n = Counter(), Counter(), 0
     for batch in batches:
-        for text in batch.column("text").to_pylist():
+        for value in batch.column("text"):  # one text at a time
+            text = value.as_py()
             uses.update(text)
             documents.update(set(text))
             n += 1
@@ -75,6 +78,7 @@ def fit_char_tfidf(df: DataFrame, column: str, max_features: int = 500) -> CharT
     Characters are counted task by task; a task gives one row for each of its characters, and one
     without a character for its number of documents.
     """
+    small_batches(df.sparkSession)
     counted = (
         df.select(tidy_text(F.col(column)).alias("text"))
         .mapInArrow(_count_characters, "c string, tf bigint, df bigint")

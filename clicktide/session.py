@@ -49,6 +49,18 @@ def build_session(app: str = "clicktide", master: str | None = None, **conf: str
     return spark
 
 
+def small_batches(spark: SparkSession, rows: int = 512, size: int = 8 << 20) -> None:
+    """Bound the rows and bytes of the Arrow batches of texts that Python gets, for this session.
+
+    A longer text is a batch of its own; smaller bounds that are set already stay."""
+    for key, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        name = f"spark.sql.execution.arrow.{key}"
+        held = spark.conf.get(name)
+        before = int(held) if held.lstrip("-").isdigit() else most + 1
+        if not 0 < before <= most:
+            spark.conf.set(name, str(most))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 

@@ -2,10 +2,12 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from clicktide.learning import ablation, buy_model, evaluate, features, tfidf
+from clicktide.operators import extraction
 
 
 def test_ordinal_codes(many_chunks):
@@ -145,3 +147,32 @@ def test_a_shifted_slope_is_no_optimum(spark):
             model.stages[-1].set(model.stages[-1].regParam, 1.0 / n)
         slopes.append(buy_model.steepest_slope(model, weighted, n))
     assert slopes[0] < 1e-4 < 0.01 < slopes[1]
+
+
+def test_extractor_and_counts_get_small_batches(spark):
+    """A task holds a bounded part of its texts, however many rows and bytes Spark would send at once."""
+    keys = {f"spark.sql.execution.arrow.{k}": v for k, v in (("maxRecordsPerBatch", "10000"), ("maxBytesPerBatch", "64MB"))}
+    before = {k: spark.conf.get(k) for k in keys}
+
+    def sizes(batches):
+        for batch in batches:
+            cells = [pa.array([batch.num_rows]), pa.array([batch.nbytes])]
+            yield pa.RecordBatch.from_arrays(cells, ["n", "size"])
+
+    try:
+        for rows, length in ((3000, 10), (300, 100_000)):
+            for key, value in keys.items():
+                spark.conf.set(key, value)
+            df = spark.range(0, rows, 1, 1).withColumn("t", F.repeat(F.lit("a"), length))
+            replies = extraction.ask(df, "t", lambda text: str(len(text)))
+            got = replies.mapInArrow(sizes, "n bigint, size bigint").collect()
+            assert sum(r.n for r in got) == rows
+            assert max(r.n for r in got) <= 512 and max(r.size for r in got) < 10 << 20
+            assert replies.select("reply").distinct().collect() == [(str(length),)]
+            for key, value in keys.items():
+                spark.conf.set(key, value)
+            tfidf.fit_char_tfidf(df, "t", 5)
+            assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 512
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
