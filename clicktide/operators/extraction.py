@@ -7,11 +7,15 @@ import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clicktide.session import small_batches
+
+#: Rows whose texts and replies a task holds as Python strings.
+SLICE_ROWS = 256
 # Instruction sent with each review, and the mark of an unusable reply.
 PROMPT = (
     "你是专业的电商数据流清洗组件，负责从商品评论中提取结构化特征。\n"
@@ -71,16 +75,18 @@ def ask(
     """Add the extractor's raw reply, and ``error`` with what the last attempt raised.
 
     Calls overlap inside a task, at most ``concurrency`` at a time, and tasks run on all
-    partitions; rows stream through in Arrow batches. The reply joins its row in place. A call
-    that fails in the end leaves a null reply and its error, so that one bad text does not make
-    Spark pay for all calls of the task again; ``on_error="raise"`` ends the job instead.
+    partitions; rows stream through in Arrow batches, and Python holds the texts of ``SLICE_ROWS`` rows
+    of one. Batches are bounded for the session (see ``small_batches``). The reply joins its row in
+    place. A call that fails in the end leaves a null reply and its error, so that one bad text does not
+    make Spark pay for all calls of the task again; ``on_error="raise"`` ends the job instead.
     """
     if on_error not in ("mark", "raise"):
         raise ValueError("on_error is mark or raise")
     added = [T.StructField(c, T.StringType()) for c in (out, error)]
     schema = T.StructType([*df.schema.fields, *added])
+    place = df.columns.index(column)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def one(text):
             if text is None:
                 return None, None
@@ -93,10 +99,14 @@ def ask(
 
         with ThreadPoolExecutor(concurrency) as pool:
             for batch in batches:
-                answers = list(pool.map(one, batch[column]))
-                yield batch.assign(**{out: [a[0] for a in answers], error: [a[1] for a in answers]})
-
-    return df.mapInPandas(run, schema)
+                for at in range(0, batch.num_rows, SLICE_ROWS):
+                    rows = batch.slice(at, SLICE_ROWS)
+                    answers = list(pool.map(one, rows.column(place).to_pylist()))
+                    made = [pa.array([a[i] for a in answers], pa.string()) for i in (0, 1)]
+                    yield pa.RecordBatch.from_arrays([*rows.columns, *made], schema.names)
+
+    small_batches(df.sparkSession)
+    return df.mapInArrow(run, schema)
 
 
 def parse_reply(reply: Column, whole_fallback: bool = False) -> Column:
