@@ -19,12 +19,13 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs
-from pyspark import TaskContext
+from pyspark import RDD, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicktide.operators.extraction import PROMPT, RetryableError, call_with_retry, features_of
 from clicktide.operators.ordered import join_per_key
+from clicktide.session import small_batches
 
 STORED = "digest string, reply string, error string"
 _KIND = pa.schema([("digest", pa.string()), ("reply", pa.string()), ("error", pa.string())])
@@ -123,11 +124,13 @@ def fetch_replies(
     retryable: tuple[type[BaseException], ...] = (RetryableError,),
     every: int = 100,
     seconds: float = 5.0,
+    task_bytes: int = 128 << 20,
 ) -> int:
     """Ask for every distinct text of ``column`` without a stored reply; the number of texts asked.
 
     At most ``in_flight`` calls run at a time over all tasks: ``callers`` tasks with an equal share
-    each. A text whose call fails in the end is stored with its error, and asked again by the
+    each. Texts are dealt to as many tasks as need to read some ``task_bytes`` each, which are run
+    ``callers`` at a time, round after round, from one shuffle. A text whose call fails in the end is stored with its error, and asked again by the
     next run. Null texts are not asked; an empty one is a text like others. ``store`` is a
     folder that all executors reach by a path that pyarrow knows as well (file, hdfs, s3, gs, abfs).
     Replies are written after ``every`` of them or ``seconds``. Speculative execution would ask twice.
@@ -171,15 +174,25 @@ def fetch_replies(
         writer.flush()
         yield pd.DataFrame({"made": [made + len(known)]})
 
+    size = df.agg(F.sum(F.octet_length(column).cast("bigint"))).first()[0] or 0
+    parts = callers * max(1, -(-size // (callers * task_bytes)))
+    small_batches(spark)
     asked = (
         df.select(digest(F.col(column), prompt).alias("digest"), F.col(column).alias("text"))
         .where("digest IS NOT NULL")
         .groupBy("digest")
         .agg(F.any_value("text").alias("text"))
         .join(reply_store(spark, store).where("error IS NULL").select("digest"), "digest", "left_anti")
-        .repartition(callers, "digest")
+        .repartition(parts, "digest")
     )
-    return asked.mapInPandas(ask, "made bigint").agg(F.coalesce(F.sum("made"), F.lit(0))).first()[0]
+    made = asked.mapInPandas(ask, "made bigint").rdd
+    rounds = range(0, made.getNumPartitions(), callers)
+    return sum(sum(_round(made, range(r, min(r + callers, made.getNumPartitions())))) for r in rounds)
+
+
+def _round(made: RDD, tasks: range) -> list[int]:
+    """Run these partitions only; the shuffle below them is made once for all rounds."""
+    return made.context.runJob(made, lambda rows: [r["made"] for r in rows], list(tasks))
 
 
 def _pairs(batches: Iterable[pd.DataFrame]) -> Iterator[tuple[str, str]]:

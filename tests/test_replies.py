@@ -106,6 +106,25 @@ def test_calls_in_flight_are_bounded_over_all_tasks(spark, tmp_path):
     assert 5 <= most <= 20  # how far tasks overlap is the machine's matter
 
 
+def test_more_tasks_than_callers_run_in_rounds(spark, tmp_path):
+    """What one task reads is bounded by bytes; the calls in flight are still those of the callers."""
+    df = spark.createDataFrame([(f"t{i}",) for i in range(24)], "t string")
+    asked = replies.fetch_replies(
+        df, "t", Timed(tmp_path), f"{tmp_path}/store", in_flight=4, callers=2, task_bytes=8
+    )
+    assert asked == 24
+    tasks = {p.name for p in tmp_path.glob("store/run-*/caller-*")}
+    assert len(tasks) > 2
+    moments = [(float(t), step) for line in Path(tmp_path, "calls").read_text().splitlines()
+               for t, step in zip(line.split(), (1, -1))]
+    running = most = 0
+    for _, step in sorted(moments):
+        running += step
+        most = max(most, running)
+    assert len(moments) == 48 and most <= 4
+    assert replies.fetch_replies(df, "t", Timed(tmp_path), f"{tmp_path}/store", callers=2, task_bytes=8) == 0
+
+
 def test_a_lost_task_pays_only_for_calls_in_flight(spark, tmp_path):
     df = texts(spark, [f"t{i}" for i in range(30)])
     asks, store = Dies(tmp_path), f"{tmp_path}/store"
