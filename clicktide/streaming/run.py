@@ -72,11 +72,25 @@ def start(
 @contextmanager
 def rocksdb_state(spark: SparkSession) -> Iterator[SparkSession]:
     """Queries started inside keep their state in RocksDB, as timers and keyed state need."""
-    key = "spark.sql.streaming.stateStore.providerClass"
+    provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    with _setting(spark, "spark.sql.streaming.stateStore.providerClass", provider):
+        yield spark
+
+
+@contextmanager
+def no_empty_batches(spark: SparkSession) -> Iterator[SparkSession]:
+    """Queries run inside leave what their last rows make due to the next batch with rows, which may
+    be of a later start; no batch without rows is run for it."""
+    with _setting(spark, "spark.sql.streaming.noDataMicroBatches.enabled", "false"):
+        yield spark
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
     before = spark.conf.get(key, None)
-    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    spark.conf.set(key, value)
     try:
-        yield spark
+        yield
     finally:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 

@@ -185,6 +185,14 @@ def test_events_without_a_time_are_counted(spark):
     assert found == {True: 1, False: 2}
 
 
+def test_a_line_is_parsed_once(spark):
+    odd = ['{"user_id": "1", "user_id": " 2.7 ", "item_id": 3e2, "event_time": {"a": 1}}', "{}", "[1]", '{"user_id": 1', ""]
+    timed = windows.timed_events(lines(spark, [altered(), *odd]), ["item_id"])
+    kept = timed.where("event_ts IS NOT NULL AND user_id IS NOT NULL")
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    assert [tuple(r)[1:] for r in timed.collect()][1:] == [(2, "unknown", 300), (None, "unknown", None)]
+
+
 def test_windows_in_two_batches_equal_one(spark):
     def event(second, behavior):
         return altered(event_time=f"2024-01-06 13:00:{second:02d}.000", behavior_type=behavior)
