@@ -10,11 +10,12 @@ is left partially filled.
 
 from __future__ import annotations
 
+import json
 import re
+import string
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,65 +28,125 @@ from clicktide.llm.common import single_threaded, text_batches, whole_text
 WINDOW = 2048
 OPEN_WINDOWS = 4096
 END_ID = 1
+#: Units that are remembered at most; the older half goes when the newer one is full.
 UNIT_CACHE = 500_000
 #: Units that are encoded as one string and cut apart again.
 JOINED = 256
-_BLANKS = " \n\t\r"
-_UNIT = re.compile(f"[{_BLANKS}]*[^{_BLANKS}]+|[{_BLANKS}]+")
+_BLANK_BYTES = b" \n\t\r"
+#: Kinds of bytes: blanks, ASCII letters, other printable ASCII characters.
+_KIND = {
+    kind: np.isin(np.arange(256), np.frombuffer(members, dtype=np.uint8))
+    for kind, members in (
+        ("blank", _BLANK_BYTES),
+        ("letter", string.ascii_letters.encode()),
+        ("other", (string.digits + string.punctuation).encode()),
+    )
+}
 #: Blanks that the tokenizer or Python know besides those; texts with one are encoded in one go.
 _RARE_BLANK = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -     　]")
 
 
 class UnitEncoder:
-    """Token ids as bytes. A byte-level tokenizer never joins a character to a blank after it, so
-    texts are encoded in units of blanks and the characters up to the next blank, and frequent
-    units are remembered."""
+    """Token ids as bytes. A byte-level tokenizer never joins a character to a blank after it, nor, where
+    it splits by its pattern, an ASCII letter to any other ASCII character after it. So texts are cut
+    there into units, the distinct units of a batch are encoded, and recent ones are remembered."""
 
     def __init__(self, tokenizer: str) -> None:
         single_threaded()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer)
-        self.cache: dict[str, bytes] = {}
+        split = json.loads(self.tokenizer.to_str())["pre_tokenizer"] or {}
+        self.cuts_letters = split.get("type") == "ByteLevel" and split.get("use_regex", True)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.recent: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         # A token of a byte-level vocabulary is written with one letter per byte.
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.token_bytes = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=np.int64)
         for token, i in vocabulary.items():
             self.token_bytes[i] = len(token)
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    def _encode(self, units: list[bytes]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast([u.decode() for u in units], add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def _encode_joined(self, units: list[str]) -> list[bytes]:
-        """Ids of units that begin with a blank and end without one. Side by side they are cut
-        where a unit's last byte ends a token, as it must; else they are encoded one by one."""
+    def _encode_joined(self, units: list[bytes]) -> list[bytes]:
+        """Ids of units that end without a blank. Side by side, after a line end where they do not
+        begin with a blank, they are cut where a unit's first byte begins a token and its last one
+        ends one, as they must; else they are encoded one by one."""
         out: list[bytes] = []
         groups = [units[i : i + JOINED] for i in range(0, len(units), JOINED)]
-        joined = self.tokenizer.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)
-        for group, found in zip(groups, joined):
+        parts = [[u if u[0] in _BLANK_BYTES else b"\n" + u for u in g] for g in groups]
+        joined = self.tokenizer.encode_batch_fast([b"".join(p).decode() for p in parts], add_special_tokens=False)
+        for group, part, found in zip(groups, parts, joined):
             ids = np.array(found.ids, dtype="<u4")
-            token_ends = np.cumsum(self.token_bytes[ids])
-            unit_ends = np.cumsum([len(u.encode()) for u in group])
-            last = np.minimum(np.searchsorted(token_ends, unit_ends), len(ids) - 1)
-            if (token_ends[last] != unit_ends).any() or token_ends[-1] != unit_ends[-1]:
+            token_ends = np.append(0, np.cumsum(self.token_bytes[ids]))
+            unit_ends = np.cumsum([len(p) for p in part])
+            unit_starts = unit_ends - [len(u) for u in group]
+            first, last = np.searchsorted(token_ends, unit_starts), np.searchsorted(token_ends, unit_ends)
+            sides = np.minimum(np.append(first, last), len(ids))
+            if (token_ends[sides] != np.append(unit_starts, unit_ends)).any() or token_ends[-1] != unit_ends[-1]:
                 out += self._encode(group)
                 continue
-            raw, ends = ids.tobytes(), (4 * (last + 1)).tolist()
-            out += [raw[a:b] for a, b in zip([0, *ends], ends)]
+            raw = ids.tobytes()
+            out += [raw[a:b] for a, b in zip((4 * first).tolist(), (4 * last).tolist())]
         return out
 
+    def _encode_units(self, units: list[bytes], alone: set[bytes]) -> list[bytes]:
+        """Ids of distinct units; those ``alone`` are whole texts that must not be joined."""
+        found = list(map(self.recent.get, units))
+        unseen = [i for i, ids in enumerate(found) if ids is None]
+        for i in unseen:
+            found[i] = self.older.get(units[i])
+        missing = [i for i in unseen if found[i] is None]
+        joinable = [i for i in missing if units[i][-1] not in _BLANK_BYTES and units[i] not in alone]
+        single = sorted(set(missing).difference(joinable))
+        for places, encode in ((joinable, self._encode_joined), (single, self._encode)):
+            for i, ids in zip(places, encode([units[i] for i in places])):
+                found[i] = ids
+        if len(self.recent) + len(unseen) > UNIT_CACHE // 2:
+            self.recent, self.older = {}, self.recent
+        self.recent.update([(units[i], found[i]) for i in unseen[: UNIT_CACHE // 2] if len(units[i]) < 64])
+        return found
+
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        units = [[t] if _RARE_BLANK.search(t) else _UNIT.findall(t) for t in texts]
-        get = self.cache.get
-        missing = set().union(*units).difference(self.cache)
-        joinable = [u for u in missing if u[0] in _BLANKS and u[-1] not in _BLANKS and not _RARE_BLANK.search(u)]
-        single = list(missing.difference(joinable))
-        new = dict(zip(joinable, self._encode_joined(joinable)))
-        new.update(zip(single, self._encode(single)))
-        room = max(UNIT_CACHE - len(self.cache), 0)
-        self.cache.update([(u, ids) for u, ids in islice(new.items(), room) if len(u) < 64])
-        return [b"".join([get(u) or new[u] for u in text]) for text in units]
+        raw = [t.encode() for t in texts]
+        data = np.frombuffer(b"".join(raw), dtype=np.uint8)
+        ends = np.cumsum([len(r) for r in raw], dtype=np.int64)
+        starts = self._unit_starts(data)
+        alone = set()
+        for text, r, end in zip(texts, raw, ends.tolist()):
+            begin = end - len(r)
+            if _RARE_BLANK.search(text) or any(a in text for a in self.added):
+                starts[begin:end] = False
+                alone.add(r)
+            if r:
+                starts[begin] = True
+        cuts = np.append(np.flatnonzero(starts), len(data))
+        buffers = [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(data)]
+        units = pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, buffers).dictionary_encode()
+        found = self._encode_units(units.dictionary.to_pylist(), alone)
+
+        # The ids of all units side by side, in the order of the texts.
+        sizes = np.array([len(ids) // 4 for ids in found], dtype=np.int64)
+        codes = units.indices.to_numpy()
+        lengths = sizes[codes]
+        id_ends = np.append(0, np.cumsum(lengths))
+        source = np.repeat((np.cumsum(sizes) - sizes)[codes] - id_ends[:-1], lengths)
+        source += np.arange(id_ends[-1])
+        ids = np.frombuffer(b"".join(found), dtype="<u4")[source].tobytes()
+        text_ends = (4 * id_ends[np.searchsorted(cuts, ends)]).tolist()
+        return [ids[a:b] for a, b in zip([0, *text_ends], text_ends)]
+
+    def _unit_starts(self, data: np.ndarray) -> np.ndarray:
+        """Whether a unit starts at a byte; the first byte of a text is not looked at."""
+        blank, letter, other = (_KIND[k][data] for k in ("blank", "letter", "other"))
+        starts = np.zeros(len(data), dtype=bool)
+        starts[1:] = blank[1:] & ~blank[:-1]
+        if self.cuts_letters:
+            starts[1:] |= other[1:] & letter[:-1]
+        return starts
 
 
 @lru_cache(maxsize=2)

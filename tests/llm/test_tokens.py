@@ -85,6 +85,32 @@ def test_units_equal_whole_texts(text):
     assert np.frombuffer(encoder.encode_all([text])[0], "<u4").tolist() == want.encode(text, add_special_tokens=False).ids
 
 
+def test_a_word_is_encoded_once_whatever_follows_it(monkeypatch):
+    encoder, asked = packing.UnitEncoder(BYTES), []
+    encode = encoder._encode_joined
+    monkeypatch.setattr(encoder, "_encode_joined", lambda units: asked.extend(units) or encode(units))
+    text = "a qwertzu, qwertzu. qwertzu; qwertzu qwertzu12 x\n"
+    for _ in range(2):
+        ids = np.frombuffer(encoder.encode_all([text])[0], "<u4").tolist()
+        assert ids == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert asked.count(b" qwertzu") == 1
+    assert not [u for u in asked if b" qwertzu" in u and u != b" qwertzu"]
+
+
+@pytest.mark.parametrize("cache", [0, 6, 500_000])
+def test_units_of_odd_texts_in_any_cache(monkeypatch, cache):
+    monkeypatch.setattr(packing, "UNIT_CACHE", cache)
+    encoder = packing.UnitEncoder(BYTES)
+    texts = ["", "it's 'tis don't, I'll'd x's1 s'9", "a<|endoftext|>b <|endoftext|> c", "é,é2 ü.x a,b,,c1d2 \t\n x",
+             "\n", "  ", ",", " a\u2003b, c", "\U0001f600x,\U0001f600 1,000.5e3 __a_b__ A\r\nb"]
+    rng = random.Random(3)
+    texts += ["".join(rng.choices("ab'sl, 1.\n\té\u00a0€<|>", k=rng.randrange(40))) for _ in range(2_000)]
+    want = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    for size in (len(texts), 300):
+        found = [ids for i in range(0, len(texts), size) for ids in encoder.encode_all(texts[i : i + size])]
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == want
+
+
 def test_level_for_is_the_least_sum_of_squares():
     rng = random.Random(4)
     packer = packing.SumOfSquares(window=64, open_windows=10_000)
